@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, langid, mixing
+from . import bpe, exact_dedup, langid, mixing, ngram_join
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -30,6 +30,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_documents(spark, sf_dir))
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_components(_documents(spark, sf_dir))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_documents(spark, sf_dir))
 
@@ -38,6 +42,7 @@ QUERIES = {
     "op1_bpe": op1_bpe,
     "op4_language_id": op4_language_id,
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_ngram_join": op8_ngram_join,
     "op9_mixing": op9_mixing,
 }
 
