@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, langid, mixing, ngram_join
+from . import bpe, exact_dedup, langid, mixing, ngram_join, secrets
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -26,6 +26,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "lang_rejected")
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(secrets.find_secrets(_documents(spark, sf_dir)))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_documents(spark, sf_dir))
 
@@ -41,6 +45,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op4_language_id": op4_language_id,
+    "op5_secrets": op5_secrets,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_ngram_join": op8_ngram_join,
     "op9_mixing": op9_mixing,
