@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, langid, mixing, ngram_join, secrets
+from . import binary_search, bpe, exact_dedup, langid, mixing, ngram_join, pii, secrets
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -20,6 +20,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode_decode(docs, TOKENIZER)).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(pii.find_pii(_documents(spark, sf_dir)))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text", "lang")
     found = langid.classify(docs.select("doc_id", "text"), langid.learn(docs, ~langid.held_out()))
@@ -42,16 +46,34 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_documents(spark, sf_dir))
 
 
+def op10_binary_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = binary_search.codes(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return binary_search.top_k(codes, codes.where("id % 50 = 0"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op3_pii": op3_pii,
     "op4_language_id": op4_language_id,
     "op5_secrets": op5_secrets,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_ngram_join": op8_ngram_join,
     "op9_mixing": op9_mixing,
+    "op10_binary_search": op10_binary_search,
 }
 
 ORACLES = {
+    "op10_binary_search": """
+        WITH bits AS (
+            SELECT vec_id, list_reduce(list_transform(range(0, 64), lambda b: CASE WHEN embedding[b + 1] > 0 THEN (1::UBIGINT << b) ELSE 0::UBIGINT END), lambda x, y: x | y) AS code
+            FROM embeddings
+        ), pairs AS (
+            SELECT q.vec_id AS query_id, x.vec_id AS id, bit_count(xor(q.code, x.code))::INTEGER AS distance
+            FROM bits q, bits x WHERE q.vec_id % 50 = 0
+        )
+        SELECT query_id, row_number() OVER w AS rank, id, distance FROM pairs
+        WINDOW w AS (PARTITION BY query_id ORDER BY distance, id) QUALIFY rank <= 10
+    """,
     "op6_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
