@@ -1,7 +1,8 @@
 """Operator 4: language by compression.
 
 For each language a raw-content Zstandard dictionary is cut from a bounded sample of labelled texts.
-A text is compressed in blocks with every dictionary and gets the language whose total is smallest.
+A text is folded to lower-case letters and single
+spaces and compressed in blocks with every dictionary and gets the language whose total is smallest.
 The score is the margin to the runner-up relative to what the best dictionary saves or leaves; texts
 whose margin is below MARGIN are marked as rejected.
 
@@ -16,6 +17,7 @@ Texts are compressed whole.  Empty tables, repeated rows and further columns pas
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,13 +29,21 @@ from pyspark.sql import functions as F
 
 from .words import row_groups
 
-SAMPLE_DOCS, SNIPPET_CHARS, DICTIONARY_BYTES = 400, 400, 64 << 10
-BLOCK_BYTES, LEVEL = 4096, 3
+SAMPLE_DOCS, SNIPPET_CHARS, DICTIONARY_BYTES = 250, 200, 32 << 10
+BLOCK_BYTES, LEVEL = 1024, 5
 MARGIN = 0.004
 MAX_LANGUAGES = 1000
 UNKNOWN = "und"
 
 
+_NO_LETTERS = re.compile(r"[\W\d_]+")
+
+
+def folded(text: str) -> bytes:
+    """Lower-case letters with single spaces between: case, digits and marks don't tell languages apart."""
+    return _NO_LETTERS.sub(" ", text.lower()).encode()
+
+
 def held_out(key: str = "doc_id", parts: int = 4, part: int = 2) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(f"`{key}`").cast("string").cast("binary")), F.lit(parts)) == part, F.lit(False))
 
@@ -54,7 +64,7 @@ def learn(docs: DataFrame, train: Column, text: str = "text", lang: str = "lang"
     picked = rows.where(F.col("draw") <= limit[F.col("lang")]).select("lang", "draw", snippet.alias("snippet")).orderBy("draw", "snippet").limit(2 * SAMPLE_DOCS * len(counts))
     parts: dict[str, list[bytes]] = {s: [] for s in counts}
     for r in picked.collect():  # bounded by SAMPLE_DOCS snippets a language, twice that at most
-        parts[r["lang"]].append(r["snippet"].encode())
+        parts[r["lang"]].append(folded(r["snippet"]))
     out = {}
     for s, found in sorted(parts.items()):
         whole = b"\n".join(dict.fromkeys(found))
@@ -106,7 +116,7 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text"
         for batch in row_groups(batches, text, 8 << 20):
             column = batch.column(text)
             letters = pc.fill_null(pc.match_substring_regex(column, r"\pL"), False).to_pylist()
-            found = [model.predict(t.encode()) if ok else (UNKNOWN, 0.0) for t, ok in zip(column.to_pylist(), letters, strict=True)]
+            found = [model.predict(folded(t)) if ok else (UNKNOWN, 0.0) for t, ok in zip(column.to_pylist(), letters, strict=True)]
             more = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()), pa.array([f[0] == UNKNOWN or f[1] < margin for f in found], pa.bool_())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, *names])
 

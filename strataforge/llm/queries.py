@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import binary_search, bpe, exact_dedup, langid, mixing, ngram_join, pii, secrets
+from . import binary_search, bpe, exact_dedup, langid, lm_scoring, mixing, ngram_join, pii, quality, secrets
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -20,6 +20,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode_decode(docs, TOKENIZER)).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_texts(_documents(spark, sf_dir))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(pii.find_pii(_documents(spark, sf_dir)))
 
@@ -38,6 +42,11 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_documents(spark, sf_dir))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.rate_quality(_documents(spark, sf_dir), labels.where("quality = 1 AND toxic = 0").select("doc_id"))
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_components(_documents(spark, sf_dir))
 
@@ -53,10 +62,12 @@ def op10_binary_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_pii": op3_pii,
     "op4_language_id": op4_language_id,
     "op5_secrets": op5_secrets,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_quality": op7_quality,
     "op8_ngram_join": op8_ngram_join,
     "op9_mixing": op9_mixing,
     "op10_binary_search": op10_binary_search,
