@@ -1,6 +1,8 @@
-"""Named queries over the driver tables, each with an equivalent DuckDB statement where SQL can state it."""
+"""All queries over the driver tables, each with an equivalent DuckDB statement where SQL can state it."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from . import curation, matching  # noqa: F401
+from .base import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
