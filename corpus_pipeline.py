@@ -16,7 +16,7 @@ from strataforge.llm.store import staged
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told with a clear margin; those without letters or with a narrow margin go."""
-    found = langid.classify(docs, langid.learn(docs, ~langid.held_out()))
+    found = langid.classify(docs, langid.learn(docs))
     return found.where(~F.col("lang_rejected")).select(*docs.columns)
 
 

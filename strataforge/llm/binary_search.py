@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .store import staged
+from .store import pick, staged
 
 SEGMENTS, WIDTH = 4, 16
 SHARD_ROWS, QUERY_ROWS = 100_000, 512
@@ -36,12 +36,12 @@ _MASKS = [np.array([sum(1 << b for b in c) for c in combinations(range(WIDTH), r
 
 def codes(df: DataFrame, vector: str = "embedding", key: str = "vec_id") -> DataFrame:
     """Rows (id, code): bit b is set where place b of the vector is positive."""
-    v = F.col(f"`{vector}`")
+    df, v = pick(df, key=key, vector=vector), F.col("vector")
     bits = [F.when(F.coalesce(F.get(v, F.lit(b)) > 0, F.lit(False)), F.lit(1 << b if b < 63 else -(1 << 63)).cast("long")).otherwise(F.lit(0).cast("long")) for b in range(64)]
     total = bits[0]
     for b in bits[1:]:
         total = total.bitwiseOR(b)
-    return df.where(F.col(f"`{key}`").isNotNull() & v.isNotNull() & (F.size(v) == 64)).select(F.col(f"`{key}`").cast("long").alias("id"), total.alias("code"))
+    return df.where(F.col("key").isNotNull() & v.isNotNull() & (F.size(v) == 64)).select(F.col("key").cast("long").alias("id"), total.alias("code"))
 
 
 class Index:

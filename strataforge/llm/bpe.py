@@ -11,7 +11,8 @@ Pieces repeat, so each worker keeps the codes of a bounded number of short piece
 
 Null texts encode as empty, as do empty ones; texts of any length are encoded whole; strings of added
 tokens become their ids.  Ids outside the vocabulary decode to nothing, bytes that are no UTF-8 to U+FFFD.
-Rows are independent: ties, repeats, empty tables and further columns of any name pass through.
+Rows are independent: ties, repeats, empty tables and further columns pass through; a column named like an
+output is replaced by it.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .store import without
 from .words import row_groups
 
 #: Fixed value: the splitting pattern that byte-level BPE vocabularies of this kind are used with.
@@ -223,10 +225,7 @@ def _codec(shared) -> Codec:
 
 
 def _append(df: DataFrame, function, names: list[tuple[str, str]]) -> DataFrame:
-    taken = {c.lower() for c in df.columns}
-    for name, _ in names:
-        if name.lower() in taken:
-            raise ValueError(f"there is a column {name} already; name the output otherwise")
+    df = without(df, *[n for n, _ in names])
     schema = ", ".join([*(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema.fields), *(f"`{n}` {t}" for n, t in names)])
     return df.mapInArrow(function, schema)
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import staged
+from .store import pick, staged
 from .words import mix
 
 SHARD_DIGESTS = 100_000
@@ -137,7 +137,7 @@ def _probe(new: pa.Table, history: pa.Table) -> pa.Table:
 
 def exact_dedup(docs: DataFrame, history_share: float = 0.5, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
-    rows = staged(docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.unhex(F.sha2(F.coalesce(F.col(f"`{text}`"), F.lit("")), 256)).alias("digest")), "digests")
+    rows = staged(pick(docs, doc_id=key, text=text).select(F.col("doc_id").cast("long"), F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("digest")), "digests")
     total, cut = rows.agg(F.count("*"), F.percentile_approx("doc_id", history_share, 10_000)).first()
     cut = cut if cut is not None else 0
     shards = max(1, math.ceil(total / SHARD_DIGESTS))

@@ -11,7 +11,8 @@ a language and DICTIONARY_BYTES of them (documented parameters), drawn by a hash
 
 A null text or one without a letter is `und` with score 0 and rejected; with one learned language
 every other text gets it; with none all are `und`.  Ties go to the language first by code point.
-Texts are compressed whole.  Empty tables, repeated rows and further columns pass through.
+Texts are compressed whole.  Empty tables, repeated rows and further columns pass through; a column named
+like an output is replaced by it.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .store import pick, without
 from .words import row_groups
 
 SAMPLE_DOCS, SNIPPET_CHARS, DICTIONARY_BYTES = 250, 200, 32 << 10
@@ -48,9 +50,10 @@ def held_out(key: str = "doc_id", parts: int = 4, part: int = 2) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(f"`{key}`").cast("string").cast("binary")), F.lit(parts)) == part, F.lit(False))
 
 
-def learn(docs: DataFrame, train: Column, text: str = "text", lang: str = "lang", key: str = "doc_id") -> dict[str, bytes]:
-    """Dictionary content of each language."""
-    rows = docs.where(train & F.col(f"`{text}`").isNotNull() & F.col(f"`{lang}`").isNotNull() & (F.length(F.trim(F.col(f"`{text}`"))) > 0)).select(F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text"), F.xxhash64(F.lit(5), F.col(f"`{key}`")).alias("draw"))
+def learn(docs: DataFrame, train: Column | None = None, text: str = "text", lang: str = "lang", key: str = "doc_id") -> dict[str, bytes]:
+    """Dictionary content of each language; train: a condition over doc_id, by default that the row isn't held out."""
+    rows = pick(docs, doc_id=key, lang=lang, text=text).where((~held_out() if train is None else train) & F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.length(F.trim("text")) > 0))
+    rows = rows.select("lang", "text", F.xxhash64(F.lit(5), "doc_id").alias("draw"))
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).toLocalIterator()}
     if len(counts) > MAX_LANGUAGES:
         raise ValueError(f"{len(counts)} languages; at most {MAX_LANGUAGES} are meant")
@@ -103,8 +106,7 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text"
     # at most MAX_LANGUAGES times DICTIONARY_BYTES
     shared = docs.sparkSession.sparkContext.broadcast(dictionaries)
     names = ["lang_pred", "score", "lang_rejected"]
-    if clash := {c.lower() for c in docs.columns} & set(names):
-        raise ValueError(f"columns named {sorted(clash)} are in the way")
+    docs = without(docs, *names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         learned = shared.value
@@ -125,5 +127,5 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text"
 
 
 def identify(docs: DataFrame, train: Column | None = None, text: str = "text", lang: str = "lang", key: str = "doc_id", margin: float = MARGIN) -> DataFrame:
-    """Learn from the rows where train holds (all with a label if None), then classify all."""
-    return classify(docs, learn(docs, F.lit(True) if train is None else train, text, lang, key), text, margin)
+    """Learn from the rows where train holds (a condition over doc_id; not held out if None), then classify all."""
+    return classify(docs, learn(docs, train, text, lang, key), text, margin)

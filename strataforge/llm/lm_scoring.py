@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .packed import pack, unpack
-from .store import staged
+from .store import pick, staged
 from .words import combine, row_groups, text_buffer, word_hashes
 
 CHUNK_BYTES = 8 << 20
@@ -188,9 +188,8 @@ def _score(key_bits: int, texts: int, tokens: int, distinct: int, words: int, st
 
 
 def score_texts(docs: DataFrame, held: Column | None = None, strength: float = STRENGTH, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score. Rows where held isn't true train."""
-    held = held_out(key) if held is None else held
-    rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"), held.alias("held_out"))
+    """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score. held: a condition over doc_id; rows where it isn't true train."""
+    rows = pick(docs, doc_id=key, text=text).select(F.col("doc_id").cast("long"), "text", (held_out() if held is None else held).alias("held_out"))
     kind = "chunk long, ids binary, valid binary, held binary, lengths binary, vocabulary binary, stream binary, tokens long, words long"
     chunks = staged(rows.mapInArrow(_chunk, kind), "chunks")
     total, words = chunks.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from .store import staged
+from .store import pick, staged
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
@@ -53,9 +53,9 @@ def order_sources(names) -> list:
 def mix_sources(docs: DataFrame, weights=WEIGHTS, seed: int = 17, most: int = MOST, budget: float | None = None, text: str = "text", key: str = "doc_id", source: str = "source") -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken, source, copies."""
     spark = docs.sparkSession
-    size = F.coalesce(F.regexp_count(F.col(f"`{text}`"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+    size = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
     rows = staged(
-        docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{source}`").cast("string").alias("source"), size.alias("size"))
+        pick(docs, doc_id=key, source=source, text=text).select(F.col("doc_id").cast("long"), F.col("source").cast("string"), size.alias("size"))
         .withColumn("key", F.xxhash64(F.lit(seed), "doc_id"))
         .withColumn("row", F.monotonically_increasing_id())
         .withColumn("lane", F.coalesce(F.concat(F.lit("="), "source"), F.lit("-"))),

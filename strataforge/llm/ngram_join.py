@@ -35,7 +35,7 @@ from pyspark.sql.window import Window as W
 
 from .components import components
 from .packed import pack, unpack
-from .store import staged
+from .store import pick, staged
 from .words import combine, mix, row_groups, text_buffer, word_hashes
 
 SHINGLE, PERCENT, MOST_MATCHES = 5, 75, 8
@@ -251,7 +251,7 @@ def _crossing(lists: DataFrame, percent: int) -> DataFrame:
 def link_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, text: str = "text", key: str = "doc_id", rounds: int = ROUNDS) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, class_id (smallest doc_id with the same set), linked."""
     spark = docs.sparkSession
-    texts = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    texts = pick(docs, doc_id=key, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
     facts = staged(texts.mapInArrow(_facts(size), "doc_id long, n long, one long, two long"), "facts")
     total = facts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     parts = max(1, math.ceil(total / BUCKET_KEYS))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import staged
+from .store import pick, staged
 from .words import row_groups
 
 BASE = ("email", "ip", "card", "phone")
@@ -257,7 +257,7 @@ def _decide(weights):
 def find_pii(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per document: doc_id and found, an array of (kind, start, end, probability, base)."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    rows = pick(docs, doc_id=key, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
     scanned = staged(rows.mapInArrow(_scan, "doc_id long, items array<string>"), "candidates")
     items = scanned.where(F.size("items") > 0).select(F.explode("items").alias("item")).withColumn("part", F.split("item", r"\|"))
     patterns = items.groupBy(F.col("part")[0].alias("kind"), F.col("part")[3].alias("votes")).agg(F.count("*").alias("n"))

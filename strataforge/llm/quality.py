@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import staged
+from .store import pick, staged
 from .words import row_groups, text_buffer
 
 ORDER, BITS = 4, 5
@@ -131,7 +131,7 @@ def rate_quality(docs: DataFrame, trusted_ids: DataFrame, quantile: float = QUAN
     spark = docs.sparkSession
     ids = trusted_ids.select(F.col(trusted_ids.columns[0]).cast("long").alias("id")).where("id IS NOT NULL").distinct()
     ids = F.broadcast(staged(ids.orderBy(F.xxhash64(F.lit(7), "id"), "id").limit(TRUSTED_DOCS), "trusted"))  # TRUSTED_DOCS longs
-    rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang"))
+    rows = pick(docs, doc_id=key, text=text, lang=lang).withColumns({"doc_id": F.col("doc_id").cast("long"), "lang": F.col("lang").cast("string")})
     grams = staged(rows.join(ids, rows["doc_id"] == ids["id"], "left_semi").where(_trains()).mapInArrow(_count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")), "grams")
     model = [tuple(r) for r in kneser_ney(grams).toLocalIterator()]  # at most 32**ORDER rows an order
     table = spark.sparkContext.broadcast(dense(model))

@@ -30,7 +30,7 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text", "lang")
-    found = langid.classify(docs.select("doc_id", "text"), langid.learn(docs, ~langid.held_out()))
+    found = langid.classify(docs.select("doc_id", "text"), langid.learn(docs))
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "lang_rejected")
 
 

@@ -25,7 +25,7 @@ from re import _parser as parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import staged
+from .store import pick, staged
 
 BLOCK_IDS = 4096
 MOST_STRINGS = 24
@@ -196,9 +196,10 @@ def find_secrets(docs: DataFrame, rules=RULES, text: str = "text", key: str = "d
     """One row per document: doc_id and found, an array of (start, order, end, kind, base) by start, then kind."""
     queries = {r.kind: trigram_query(r.regex) for r in rules}
     terms = sorted({t for q in queries.values() for clause in q for s in clause for t in s})
-    rows = docs.select(F.col(f"`{key}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+    docs = pick(docs, doc_id=key, text=text)
+    rows = docs.withColumn("text", F.coalesce("text", F.lit("")))
     if terms:
-        likely = staged(candidates(staged(build_index(docs, terms, text, key), "trigrams"), rules), "candidates")
+        likely = staged(candidates(staged(build_index(docs, terms), "trigrams"), rules), "candidates")
         rows = rows.join(likely, rows["doc_id"] == likely["id"], "left")
     else:
         rows = rows.withColumn("rules", F.array().cast("array<string>"))

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -27,3 +28,25 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def pick(df: DataFrame, **names: str) -> DataFrame:
+    """Only the named columns, as alias=name. A name that is there exactly is that column, whatever others differ from it in case only."""
+    found = df.columns
+    wide = df.toDF(*[f"_{k}" for k in range(len(found))])
+
+    def place(name: str) -> str:
+        same = [k for k, c in enumerate(found) if c == name] or [k for k, c in enumerate(found) if c.lower() == name.lower()]
+        if not same:
+            raise ValueError(f"there is no column {name}")
+        return f"_{same[0]}"
+
+    return wide.select(*[F.col(place(name)).alias(alias) for alias, name in names.items()])
+
+
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """df without the columns that the named outputs would clash with."""
+    low = {n.lower() for n in names}
+    keep = [k for k, c in enumerate(df.columns) if c.lower() not in low]
+    wide = df.toDF(*[f"_{k}" for k in range(len(df.columns))])
+    return wide.select(*[F.col(f"_{k}").alias(df.columns[k]) for k in keep])
