@@ -96,7 +96,7 @@ def word_hashes(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
             while a < stop:  # one long text: cut where a space is
                 b = min(stop, a + PIECE_BYTES)
                 while b < stop and not _SPACE[buf[b]]:
-                    gap = np.flatnonzero(_SPACE[buf[b : b + PIECE_BYTES]])
+                    gap = np.flatnonzero(_SPACE[buf[b : min(stop, b + PIECE_BYTES)]])
                     b = b + int(gap[0]) if len(gap) else min(stop, b + PIECE_BYTES)
                 h, _ = _piece(buf[a:b], np.zeros(1, np.int64))
                 counts[row] += len(h)
