@@ -2,8 +2,9 @@
 
 1. Every text becomes the set of its 64-bit shingle hashes; texts with the same set are one class.
 2. Shingles are dealt out by hash in sorted blobs and counted (document frequency).  Shingles of one
-   document can't be shared, so only the others come back to the documents; a document of which fewer
-   than the threshold's share came back can't have a link and is done.
+   document can't be shared, so only the others come back to the classes; a class of which fewer than
+   the threshold's share came back can't have a link and is done.  The same again over what is left
+   counts classes instead of documents.
 3. Shingles are ordered by (frequency, hash), unshared ones first.  A document with n shingles and least
    overlap t shares l of its first n - t + l with any partner.  For l = 1..MOST_MATCHES the cost is
    estimated from the frequencies (postings read, plus candidates left, at most postings / l, times the
@@ -43,6 +44,7 @@ CHUNK_BYTES = 8 << 20
 BUCKET_KEYS = 1 << 20
 ROUNDS = 6
 LIST_ROWS = 2_000
+PACKAGE = "bucket int, keys binary, docs binary, ids binary"
 
 
 def shingle_sets(column, size: int = SHINGLE) -> Iterator[np.ndarray]:
@@ -74,35 +76,53 @@ def _facts(size: int):
     return run
 
 
-def _deal(bits: int, size: int):
+def _packages(ids: np.ndarray, sets: list[np.ndarray], bits: int) -> Iterator[pa.RecordBatch]:
     """Rows (bucket, keys, docs, ids): the shingles of a chunk of documents that fall into a bucket, each with its document's place in ids."""
+    order = np.argsort(ids, kind="stable")
+    place = np.empty(len(ids), np.uint16 if len(ids) <= 65536 else np.uint32)
+    place[order] = np.arange(len(ids))
+    keys = np.concatenate(sets)
+    docs = np.repeat(place, [len(s) for s in sets])
+    by = np.argsort(keys, kind="stable")
+    keys, docs = keys[by], docs[by]
+    del by
+    bounds = np.searchsorted(keys, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) if bits else np.empty(0, np.int64)
+    bounds = [0, *bounds.tolist(), len(keys)]
+    header = pack(ids[order].astype(np.int64).view(np.uint64) ^ np.uint64(1 << 63))
+    rows = [(b, pack(keys[x:y]), docs[x:y].tobytes(), header) for b, (x, y) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)) if y > x]
+    for k in range(0, len(rows), 256):
+        part = list(zip(*rows[k : k + 256], strict=True))
+        yield pa.RecordBatch.from_arrays([pa.array(part[0], pa.int32()), *(pa.array(x, pa.binary()) for x in part[1:])], names=["bucket", "keys", "docs", "ids"])
+
+
+def _deal(bits: int, size: int):
+    """The shingles of texts, dealt out by hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in row_groups(batches, "text", CHUNK_BYTES):
             batch = batch.filter(pa.compute.is_valid(batch.column("doc_id")))
-            if not batch.num_rows:
-                continue
-            ids = batch.column("doc_id").to_numpy()
-            order = np.argsort(ids, kind="stable")
-            place = np.empty(len(ids), np.uint32)
-            place[order] = np.arange(len(ids))
-            sets = list(shingle_sets(batch.column("text"), size))
-            keys = np.concatenate(sets)
-            docs = np.repeat(place, [len(s) for s in sets])
-            by = np.argsort(keys, kind="stable")
-            keys, docs = keys[by], docs[by]
-            docs = docs.astype(np.uint16) if len(ids) <= 65536 else docs
-            bounds = np.searchsorted(keys, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) if bits else np.empty(0, np.int64)
-            bounds = [0, *bounds.tolist(), len(keys)]
-            header = pack(ids[order].astype(np.int64).view(np.uint64) ^ np.uint64(1 << 63))
-            rows = [(b, pack(keys[x:y]), docs[x:y].tobytes(), header) for b, (x, y) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)) if y > x]
-            for k in range(0, len(rows), 256):
-                part = list(zip(*rows[k : k + 256], strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(part[0], pa.int32()), *(pa.array(x, pa.binary()) for x in part[1:])], names=["bucket", "keys", "docs", "ids"])
+            if batch.num_rows:
+                yield from _packages(batch.column("doc_id").to_numpy(), list(shingle_sets(batch.column("text"), size)), bits)
+
+    return run
+
+
+def _deal_again(bits: int):
+    """The shared shingles of classes, dealt out by hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches):
+            yield from _packages(batch.column("doc").to_numpy(), [np.frombuffer(t.as_buffer(), np.uint64) for t in batch.column("tokens")], bits)
 
     return run
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _count(groups: int):
     """Of a bucket: rows (crowd, ids, keys, dfs) with the shingles that more than one document has, dealt by document."""
 
@@ -185,7 +205,7 @@ def prefix(n: int, dfs: np.ndarray, percent: int = PERCENT, most: int = MOST_MAT
 
 def _postings(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             out = ([], [], [], [], [], [])
             for doc, n, tokens, dfs in zip(*(batch.column(c).to_pylist() for c in ("doc", "n", "tokens", "dfs")), strict=True):
                 dfs = np.frombuffer(dfs, np.uint32)
@@ -202,7 +222,7 @@ def _postings(percent: int):
 
 def _verify(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches, 256):
             ok = []
             for nx, ny, a, b in zip(*(batch.column(c).to_pylist() for c in ("nx", "ny", "tx", "ty")), strict=True):
                 both = len(np.intersect1d(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), assume_unique=True))
@@ -240,14 +260,29 @@ def _partners(lists: DataFrame, turn: int, percent: int) -> DataFrame:
 
 def _crossing(lists: DataFrame, percent: int) -> DataFrame:
     """All candidate pairs of different components."""
-    mixed = lists.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("token")
-    rows = lists.join(mixed, "token", "left_semi")
-    x, y = (rows.select("token", *(F.col(c).alias(f"{c}_{k}") for c in ("doc", "n", "level", "matches", "component"))) for k in "xy")
+    x, y = (lists.select("token", *(F.col(c).alias(f"{c}_{k}") for c in ("doc", "n", "level", "matches", "component"))) for k in "xy")
     need = F.least("matches_x", "matches_y")
     pairs = x.join(y, "token").where((F.col("doc_x") < F.col("doc_y")) & (F.col("component_x") != F.col("component_y")) & _fits("n_x", "n_y", percent) & (F.greatest("level_x", "level_y") <= need))
     return pairs.groupBy(F.col("doc_x").alias("x"), F.col("doc_y").alias("y")).agg(F.count("*").alias("hits"), F.first(need).alias("need")).where("hits >= need").select("x", "y")
 
 
+def _crowds(parts: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            with np.errstate(over="ignore"):  # as in _count, done once a class
+                crowd = (mix(b.column("doc_id").to_numpy().view(np.uint64) + np.uint64(3)) % np.uint64(parts)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(crowd)], names=["doc_id", "n", "crowd"])
+
+    return run
+
+
+def _shared(packages: DataFrame, members: DataFrame, parts: int, percent: int) -> DataFrame:
+    """Members (doc_id, n) of whose shingles enough occur in other packaged documents too: (doc, n, tokens, dfs)."""
+    counted = packages.groupBy("bucket").applyInArrow(_count(parts), "crowd long, ids binary, keys binary, dfs binary")
+    placed = members.mapInArrow(_crowds(parts), "doc_id long, n long, crowd long")
+    return staged(placed.groupBy("crowd").cogroup(counted.groupBy("crowd")).applyInArrow(_gather(percent), "doc long, n long, tokens binary, dfs binary"), "sets")
+
+
 def link_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, text: str = "text", key: str = "doc_id", rounds: int = ROUNDS) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, class_id (smallest doc_id with the same set), linked."""
     spark = docs.sparkSession
@@ -258,26 +293,22 @@ def link_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     bits = max(0, (parts - 1).bit_length())
     held = facts.where("n > 0 AND doc_id IS NOT NULL")
     classes = staged(held.groupBy("n", "one", "two").agg(F.min("doc_id").alias("class_id")), "classes")
-    crowd = F.col("crowd")
-    shared = texts.mapInArrow(_deal(bits, size), "bucket int, keys binary, docs binary, ids binary").groupBy("bucket").applyInArrow(_count(parts), "crowd long, ids binary, keys binary, dfs binary")
-    # the same mixing as in _count, done once a class
-    def crowds(batches):
-        for b in batches:
-            ids = b.column("doc_id").to_numpy()
-            with np.errstate(over="ignore"):
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array((mix(ids.view(np.uint64) + np.uint64(3)) % np.uint64(parts)).astype(np.int64))], names=["doc_id", "n", "crowd"])
-
-    members = classes.select(F.col("class_id").alias("doc_id"), "n").mapInArrow(crowds, "doc_id long, n long, crowd long")
-    sets = staged(members.groupBy(crowd).cogroup(shared.groupBy(crowd)).applyInArrow(_gather(percent), "doc long, n long, tokens binary, dfs binary"), "sets")
+    # classes, not documents, are counted in the end: what only copies of one text share is dropped by the second count
+    sets = _shared(texts.mapInArrow(_deal(bits, size), PACKAGE), classes.select(F.col("class_id").alias("doc_id"), "n"), parts, percent)
+    left = sets.agg(F.coalesce(F.sum(F.length("tokens") / 8), F.lit(0))).first()[0]
+    parts = max(1, math.ceil(left / BUCKET_KEYS))
+    sets = _shared(sets.mapInArrow(_deal_again(max(0, (parts - 1).bit_length())), PACKAGE), sets.select(F.col("doc").alias("doc_id"), "n"), parts, percent)
     lists = staged(sets.mapInArrow(_postings(percent), "token long, doc long, n long, level int, matches int, df long"), "postings")
-    # lists of one class lead nowhere
-    lists = staged(lists.join(lists.groupBy("token").agg(F.count("*").alias("k")).where("k > 1").select("token"), "token", "left_semi"), "lists")
     tested = spark.createDataFrame([], "x long, y long")
     found = spark.createDataFrame([], "node long, component long")
     turn, last = 0, False
     while not last:
-        placed = lists.join(found, lists["doc"] == found["node"], "left").select(*lists.columns, F.coalesce("component", "doc").alias("component"))
         last = turn >= rounds
+        # a list within one component leads nowhere, now or later
+        placed = lists.join(found, lists["doc"] == found["node"], "left").select("token", "doc", "n", "level", "matches", "df", F.coalesce("component", "doc").alias("component"))
+        mixed = placed.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("token")
+        placed = staged(placed.join(mixed, "token", "left_semi"), "lists")
+        lists = placed.drop("component")
         pairs = _crossing(placed, percent) if last else _partners(placed, turn, percent)
         verified = _links(pairs.join(tested, ["x", "y"], "left_anti"), sets, percent)
         fresh = verified.where("ok").select("x", "y")
