@@ -32,9 +32,9 @@ from pyspark.sql import functions as F
 
 from .packed import pack, unpack
 from .store import pick, staged
-from .words import combine, row_groups, text_buffer, word_hashes
+from .words import mix, row_groups, text_buffer, word_hashes
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 3 << 20
 BUCKET_KEYS = 1 << 20
 STRENGTH = 30.0
 #: Hashes that stand for the end token and for the state before the first.
@@ -79,6 +79,14 @@ def _chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seq += 1
 
 
+def pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        out = mix(first)
+        out *= np.uint64(0x9E3779B97F4A7C15)
+        out ^= second
+        return mix(out)
+
+
 class _Chunk:
     """A chunk's row as arrays."""
 
@@ -89,18 +97,17 @@ class _Chunk:
         self.held = np.unpackbits(np.frombuffer(row["held"], np.uint8), count=n).astype(bool)
         self.lengths = _numbers(row["lengths"])
         self.vocabulary = unpack(row["vocabulary"])
-        self.place = _numbers(row["stream"])
+        self.place = _numbers(row["stream"]).astype(np.int32)
         self.begin = np.cumsum(self.lengths) - self.lengths
         self.train = np.repeat(~self.held, self.lengths)
         # the state before each token: the word before it, or the start of a text
-        state = np.empty(len(self.place), np.int64)
+        state = np.empty(len(self.place), np.int32)
         state[1:] = self.place[:-1]
         state[self.begin] = len(self.vocabulary)
         self.state = state
-        with np.errstate(over="ignore"):
-            names = np.append(self.vocabulary, START)
-            pairs = combine(np.stack([names[state], self.vocabulary[self.place]], axis=1).ravel(), 2)[::2]
-        self.bigrams, self.bigram = np.unique(pairs >> np.uint64(64 - bits), return_inverse=True)
+        pairs = pair_hashes(np.append(self.vocabulary, START)[state], self.vocabulary[self.place])
+        pairs >>= np.uint64(64 - bits)
+        self.bigrams, self.bigram = np.unique(pairs, return_inverse=True)
 
     def trained(self, place: np.ndarray, n: int) -> np.ndarray:
         return np.bincount(place[self.train], minlength=n)
@@ -111,7 +118,8 @@ def _deal(word_bits: int, pair_bits: int, key_bits: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]  # a chunk at a time
                 c = _Chunk(row, key_bits)
                 for base, bits, width, keys, counts in (
                     (0, word_bits, 64, c.vocabulary, c.trained(c.place, len(c.vocabulary))),
