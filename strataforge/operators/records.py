@@ -4,26 +4,36 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-_SCORED = "struct<score:int,evidence:string>"
-RECORD_SCHEMA = (
-    "paper_id string, deposit_type string, deposit_type_conf double, "
-    "deposit_type_alternative struct<type:string,relation:string,evidence:string>, deposit_type_evidence string, "
-    "deposit_type_null_reason string, deposit_class string, is_primary_research boolean, is_primary_research_reason string, "
-    "countries array<string>, metallogenic_belt string, tectonic_setting string, "
-    "coordinates struct<latitude:double,longitude:double,precision:string,source:string,confidence:double,extraction_method:string,matched_token:string>, "
-    "minerals struct<ore_minerals:array<string>,gangue_minerals:array<string>,alteration_minerals:array<string>>, "
-    "alteration array<string>, commodities struct<primary:array<string>,byproduct:array<string>,trace:array<string>>, "
-    "host_rocks array<string>, structural_controls array<string>, "
-    "deposit_scale struct<tonnage:struct<value:double,unit:string,resource_type:string>,grade:map<string,double>,scale_class:string,production_status:string,citation:string>, "
-    "ages array<struct<age_ma:double,uncertainty:double,method:string,material:string,interpretation:string,citation:string>>, "
-    "geochemistry struct<trace_elements:struct<enriched:array<string>,depleted:array<string>>,isotopes:map<string,string>,fluid_inclusion:map<string,string>,citation:string>, "
-    "reference_deposits array<struct<name:string,relation:string,similarity:string>>, "
-    f"mineral_system struct<source:{_SCORED},transport:{_SCORED},trap:{_SCORED},reservoir:{_SCORED},seal:{_SCORED},timing:{_SCORED},preservation:{_SCORED}>"
-)
+
+_STRINGS = "array<string>"
 COORDINATES = "struct<latitude:double,longitude:double,precision:string,source:string,confidence:double,extraction_method:string,matched_token:string>"
-ENVELOPE_SCHEMA = f"paper_id string, extracted struct<{', '.join(f'{f.name}:{f.dataType.simpleString()}' for f in T._parse_datatype_string(RECORD_SCHEMA).fields)}>, tokens struct<input:bigint,output:bigint>"
+FIELDS = {
+    "paper_id": "string",
+    "deposit_type": "string",
+    "deposit_type_conf": "double",
+    "deposit_type_alternative": "struct<type:string,relation:string,evidence:string>",
+    "deposit_type_evidence": "string",
+    "deposit_type_null_reason": "string",
+    "deposit_class": "string",
+    "is_primary_research": "boolean",
+    "is_primary_research_reason": "string",
+    "countries": _STRINGS,
+    "metallogenic_belt": "string",
+    "tectonic_setting": "string",
+    "coordinates": COORDINATES,
+    "minerals": f"struct<ore_minerals:{_STRINGS},gangue_minerals:{_STRINGS},alteration_minerals:{_STRINGS}>",
+    "alteration": _STRINGS,
+    "commodities": f"struct<primary:{_STRINGS},byproduct:{_STRINGS},trace:{_STRINGS}>",
+    "host_rocks": _STRINGS,
+    "structural_controls": _STRINGS,
+    "deposit_scale": "struct<tonnage:struct<value:double,unit:string,resource_type:string>,grade:map<string,double>,scale_class:string,production_status:string,citation:string>",
+    "ages": "array<struct<age_ma:double,uncertainty:double,method:string,material:string,interpretation:string,citation:string>>",
+    "geochemistry": f"struct<trace_elements:struct<enriched:{_STRINGS},depleted:{_STRINGS}>,isotopes:map<string,string>,fluid_inclusion:map<string,string>,citation:string>",
+    "reference_deposits": "array<struct<name:string,relation:string,similarity:string>>",
+    "mineral_system": "struct<" + ",".join(f"{n}:struct<score:int,evidence:string>" for n in ("source", "transport", "trap", "reservoir", "seal", "timing", "preservation")) + ">",
+}
+RECORD_SCHEMA = ", ".join(f"{n} {t}" for n, t in FIELDS.items())
+ENVELOPE_SCHEMA = f"paper_id string, extracted struct<{','.join(f'{n}:{t}' for n, t in FIELDS.items())}>, tokens struct<input:bigint,output:bigint>"
 
 
 def with_ordinal(df: DataFrame, *order: str) -> DataFrame:

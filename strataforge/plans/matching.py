@@ -147,11 +147,11 @@ def country_gate_join(spark, d):
     return s.join(F.broadcast(n), F.col("s_nationkey") % 5 == F.col("n_regionkey")).where(lookup.country_fits(claimed, F.col("n_name"))).select("s_suppkey", "n_name")
 
 
-@register("SELECT p_partkey FROM part WHERE (contains(lower(p_name), '1') OR contains(lower(p_name), '7')) AND p_name NOT IN (SELECT p_name FROM part WHERE p_partkey <= 20)")
+@register("SELECT p_partkey FROM part WHERE (contains(lower(p_name), 'bolt') OR contains(lower(p_name), 'old')) AND p_name NOT IN (SELECT p_name FROM part WHERE p_partkey <= 5)")
 def semi_keyword(spark, d):
     parts = table(spark, d, "part").select("p_partkey", F.col("p_name").alias("name"))
-    words = spark.createDataFrame([("1",), ("7",)], "keyword string")
-    return lookup.trusted_entries(parts, words, parts.where("p_partkey <= 20")).select("p_partkey")
+    words = spark.createDataFrame([("bolt",), ("old",)], "keyword string")
+    return lookup.trusted_entries(parts, words, parts.where("p_partkey <= 5")).select("p_partkey")
 
 
 @register("""SELECT name, CASE WHEN o IS NULL THEN b ELSE o END AS lat, row_number() OVER (ORDER BY o IS NOT NULL AND b IS NULL, ord) - 1 AS ord FROM (
