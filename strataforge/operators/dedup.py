@@ -26,7 +26,7 @@ def mark_duplicates(df: DataFrame, by: Column, id_col: str = "paper_id", order:
 
     The keeper is aggregated before the shuffle and joined back, so a content that a third of the rows share is never one task's.
     """
-    hashed = df.withColumn("_hash", by)
+    hashed = df.withColumn("_hash", F.coalesce(by, F.lit("")))
     rank = F.struct(F.col(id_col).rlike(COPY_SUFFIX).cast("int").alias("suffixed"), F.col(order).alias("ord"))
     best = hashed.groupBy("_hash").agg(F.min(rank).alias("_best"), F.count("*").alias("_copies"))
     return hashed.join(best, "_hash").withColumn("_keep", F.col(order) == F.col("_best.ord")).drop("_best")

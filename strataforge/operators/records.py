@@ -43,7 +43,9 @@ def with_ordinal(df: DataFrame, *order: str) -> DataFrame:
     """
     from pyspark.sql.window import Window as W
 
-    keyed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).withColumn("_seq", F.monotonically_increasing_id())
+    # a stated number of partitions, which adaptive execution leaves alone: both uses below must see the same ones
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).withColumn("_seq", F.monotonically_increasing_id())
     counts = keyed.groupBy("_part").agg(F.count("*").alias("_n"), F.min("_seq").alias("_first"))
     starts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
     return keyed.join(F.broadcast(starts.select("_part", "_first", "_before")), "_part").withColumn("_ord", F.col("_before") + F.col("_seq") - F.col("_first")).drop("_part", "_seq", "_first", "_before")
