@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import binary_search, bpe, exact_dedup, langid, lm_scoring, mixing, ngram_join, pii, quality, secrets
+from . import binary_search, bpe, exact_dedup, langid, lm_scoring, mixing, ngram_join, oracles, pii, quality, secrets
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -21,7 +21,8 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_scoring.score_texts(_documents(spark, sf_dir))
+    scored = lm_scoring.score_texts(_documents(spark, sf_dir))
+    return scored.withColumns({c: F.round(c, 6) for c in ("base_score", "score")})
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,20 +75,9 @@ QUERIES = {
 }
 
 ORACLES = {
-    "op10_binary_search": """
-        WITH bits AS (
-            SELECT vec_id, list_reduce(list_transform(range(0, 64), lambda b: CASE WHEN embedding[b + 1] > 0 THEN (1::UBIGINT << b) ELSE 0::UBIGINT END), lambda x, y: x | y) AS code
-            FROM embeddings
-        ), pairs AS (
-            SELECT q.vec_id AS query_id, x.vec_id AS id, bit_count(xor(q.code, x.code))::INTEGER AS distance
-            FROM bits q, bits x WHERE q.vec_id % 50 = 0
-        )
-        SELECT query_id, row_number() OVER w AS rank, id, distance FROM pairs
-        WINDOW w AS (PARTITION BY query_id ORDER BY distance, id) QUALIFY rank <= 10
-    """,
-    "op6_exact_dedup": """
-        SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
-               doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
-        FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
-    """,
+    "op2_lm_scoring": oracles.LM,
+    "op5_secrets": oracles.SECRETS,
+    "op6_exact_dedup": oracles.EXACT,
+    "op8_ngram_join": oracles.JOIN,
+    "op10_binary_search": oracles.SEARCH,
 }
