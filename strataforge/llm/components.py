@@ -1,25 +1,58 @@
-"""Connected components by alternating large-star and small-star steps, all in joins and aggregations."""
+"""Connected components: a union-find in one task while the links are few, else alternating large-star and small-star steps.
+
+The number of links is counted first; LOCAL_LINKS pairs of longs are a bound that any task can hold.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .store import staged
 
 
+LOCAL_LINKS = 500_000
+
+
+def _unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All links of one task to (node, component)."""
+    found = [(b.column("u").to_numpy(), b.column("v").to_numpy()) for b in batches]
+    if not found:
+        return
+    ends = np.concatenate([np.stack(f) for f in found], axis=1)
+    nodes, place = np.unique(ends, return_inverse=True)
+    place = place.reshape(ends.shape)
+    label = np.arange(len(nodes))
+    while True:  # labels fall to the smallest of a link's ends, then to their own labels' labels
+        low = label.copy()
+        np.minimum.at(low, label[place[0]], label[place[1]])
+        np.minimum.at(low, label[place[1]], label[place[0]])
+        low = low[low]
+        if (low == label).all():
+            break
+        label = low
+    for k in range(0, len(nodes), 50_000):
+        yield pa.RecordBatch.from_arrays([pa.array(nodes[k : k + 50_000]), pa.array(nodes[label[k : k + 50_000]])], names=["node", "component"])
+
+
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def components(links: DataFrame, rounds: int = 60) -> DataFrame:
+def components(links: DataFrame, rounds: int = 60, local: int = LOCAL_LINKS) -> DataFrame:
     """links(x, y) of longs to one row (node, component) for each node of a link; component: the smallest node reachable.
 
     A star's centre may have any number of neighbours: its minimum is pre-aggregated before the shuffle and joined back, so no
     neighbourhood is gathered.  Each round is written to the shared folder, so a lost executor costs one round at most.
     """
-    edges = links.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).where("u <> v").distinct()
-    edges = staged(edges, "edges")
+    edges = staged(links.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).where("u <> v"), "edges")
+    if edges.count() <= local:
+        return edges.coalesce(1).mapInArrow(_unite, "node long, component long")
+    edges = staged(edges.distinct(), "edges")
     before = _state(edges)
     for _ in range(rounds):
         if not before[0]:

@@ -245,9 +245,11 @@ def test_join_components(spark, rounds):
     assert got == brute_components(texts)
 
 
-def test_components(spark):
+@pytest.mark.parametrize("local", [0, 500_000])
+def test_components(spark, local):
     edges = [(k, k + 1) for k in range(200, 300)] + [(5, 9), (9, 7), (7, 5), (3, 300), (40, 40)]
-    got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(edges, "x long, y long")).collect()}
+    got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(edges, "x long, y long"), local=local).collect()}
+    assert components.components(spark.createDataFrame([], "x long, y long"), local=local).count() == 0
     assert got[250] == got[200] == 3 and got[9] == got[7] == got[5] == 5 and 40 not in got
 
 
