@@ -9,7 +9,7 @@
    overlap t shares l of its first n - t + l with any partner.  For l = 1..MOST_MATCHES the cost is
    estimated from the frequencies (postings read, plus candidates left, at most postings / l, times the
    cost of a verification); the cheapest l is the document's.  A pair is a candidate when it shares
-   min(l) within the prefixes of that length.
+   min(l) within the prefixes that its own least overlap, by both sizes, leaves of these.
 4. Links only matter between different components.  Rounds let each class verify one promising
    partner of another component found beside it in posting lists; components are rebuilt; once a round
    finds nothing new, every candidate pair that still crosses components is verified.  No link between
@@ -42,7 +42,7 @@ from .words import combine, mix, row_groups, text_buffer, word_hashes
 SHINGLE, PERCENT, MOST_MATCHES = 5, 75, 8
 CHUNK_BYTES = 8 << 20
 BUCKET_KEYS = 1 << 20
-ROUNDS = 6
+ROUNDS = 4
 LIST_ROWS = 2_000
 PACKAGE = "bucket int, keys binary, docs binary, ids binary"
 
@@ -186,9 +186,9 @@ def _gather(percent: int):
 
 
 def prefix(n: int, dfs: np.ndarray, percent: int = PERCENT, most: int = MOST_MATCHES) -> tuple[int, np.ndarray]:
-    """The matches l to ask of a document with n shingles, and the level of each shared shingle in its prefix.
+    """The matches l to ask of a document with n shingles, and the places from 0, unshared shingles first, of the shared ones in its prefix.
 
-    dfs: frequencies of its shared shingles in order. A shingle of level v is in the prefixes of v matches and more.
+    dfs: frequencies of its shared shingles in order.
     """
     t = -(-percent * n // 100)
     alone = n - len(dfs)
@@ -200,7 +200,7 @@ def prefix(n: int, dfs: np.ndarray, percent: int = PERCENT, most: int = MOST_MAT
         if cost < cheapest:
             best, cheapest = matches, cost
     end = max(0, min(n - t + best - alone, len(dfs)))
-    return best, np.maximum(1, np.arange(alone, alone + end) - (n - t) + 1)
+    return best, np.arange(alone, alone + end)
 
 
 def _postings(percent: int):
@@ -209,13 +209,13 @@ def _postings(percent: int):
             out = ([], [], [], [], [], [])
             for doc, n, tokens, dfs in zip(*(batch.column(c).to_pylist() for c in ("doc", "n", "tokens", "dfs")), strict=True):
                 dfs = np.frombuffer(dfs, np.uint32)
-                matches, level = prefix(n, dfs, percent)
-                m = len(level)
-                for x, v in zip(out, (np.frombuffer(tokens, np.int64)[:m], np.full(m, doc), np.full(m, n), level, np.full(m, matches), dfs[:m]), strict=True):
+                matches, at = prefix(n, dfs, percent)
+                m = len(at)
+                for x, v in zip(out, (np.frombuffer(tokens, np.int64)[:m], np.full(m, doc), np.full(m, n), at, np.full(m, matches), dfs[:m]), strict=True):
                     x.append(v)
             if out[0]:
                 kinds = (np.int64, np.int64, np.int64, np.int32, np.int32, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(k)) for x, k in zip(out, kinds, strict=True)], names=["token", "doc", "n", "level", "matches", "df"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(k)) for x, k in zip(out, kinds, strict=True)], names=["token", "doc", "n", "at", "matches", "df"])
 
     return run
 
@@ -239,20 +239,26 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return staged(pairs.join(one, "x").join(two, "y").select("x", "y", "nx", "ny", "tx", "ty").mapInArrow(_verify(percent), "x long, y long, ok boolean"), "verified")
 
 
-def _fits(a: str, b: str, percent: int):
-    """Sizes that a pair can link with."""
-    return (100 * F.col(a) >= percent * F.col(b)) & (100 * F.col(b) >= percent * F.col(a))
+def _fits(x: dict, y: dict, percent: int):
+    """Whether a shared shingle counts for a pair: sizes that can link, and a place within both prefixes of the pair's own least overlap.
+
+    Two sets of n and m shingles that link share o >= percent * (n + m) / (100 + percent); of l shared ones among the first n - o + l
+    and m - o + l in order there are l at least.
+    """
+    sizes = (100 * x["n"] >= percent * y["n"]) & (100 * y["n"] >= percent * x["n"])
+    overlap = F.ceil(percent * (x["n"] + y["n"]) / (100 + percent))
+    return sizes & (F.greatest(x["at"] - x["n"], y["at"] - y["n"]) + overlap < F.least(x["matches"], y["matches"]))
 
 
 def _partners(lists: DataFrame, turn: int, percent: int) -> DataFrame:
     """For each class the class of another component that most often stands before it, or first, in its posting lists."""
     lane = [F.col("token"), F.when(F.col("df") > 2 * LIST_ROWS, F.pmod(F.xxhash64("doc", "token"), F.ceil(F.col("df") / LIST_ROWS))).otherwise(F.lit(0)).alias("salt")]
-    rows = lists.select("doc", "n", "component", *lane).withColumn("turn", F.xxhash64(F.lit(turn), "component", "doc") if turn else F.col("doc"))
+    rows = lists.select("doc", "n", "at", "matches", "component", *lane).withColumn("turn", F.xxhash64(F.lit(turn), "component", "doc") if turn else F.col("doc"))
     w = W.partitionBy("token", "salt").orderBy("turn", "doc")
-    one = F.struct("doc", "n", "component")
-    near = rows.withColumn("near", F.lag(one).over(w)).withColumn("head", F.first(one).over(w.rowsBetween(W.unboundedPreceding, 0)))
-    near = near.select("doc", "n", "component", F.explode(F.array_distinct(F.array("near", "head"))).alias("p")).where(F.col("p.component") != F.col("component"))
-    near = near.select("doc", F.col("p.doc").alias("other"), "n", F.col("p.n").alias("m")).where(_fits("n", "m", percent))
+    own = F.struct("doc", "n", "at", "matches", "component")
+    near = rows.select(own.alias("x"), F.lag(own).over(w).alias("near"), F.first(own).over(w.rowsBetween(W.unboundedPreceding, 0)).alias("head"))
+    near = near.select("x", F.explode(F.array_distinct(F.array("near", "head"))).alias("y")).where((F.col("x.component") != F.col("y.component")) & _fits(F.col("x"), F.col("y"), percent))
+    near = near.select(F.col("x.doc").alias("doc"), F.col("y.doc").alias("other"))
     seen = near.groupBy("doc", "other").agg(F.count("*").alias("hits"))
     best = seen.groupBy("doc").agg(F.max(F.struct("hits", (-F.col("other")).alias("o"))).alias("b"))
     return best.select(F.least("doc", -F.col("b.o")).alias("x"), F.greatest("doc", -F.col("b.o")).alias("y")).distinct()
@@ -260,10 +266,11 @@ def _partners(lists: DataFrame, turn: int, percent: int) -> DataFrame:
 
 def _crossing(lists: DataFrame, percent: int) -> DataFrame:
     """All candidate pairs of different components."""
-    x, y = (lists.select("token", *(F.col(c).alias(f"{c}_{k}") for c in ("doc", "n", "level", "matches", "component"))) for k in "xy")
-    need = F.least("matches_x", "matches_y")
-    pairs = x.join(y, "token").where((F.col("doc_x") < F.col("doc_y")) & (F.col("component_x") != F.col("component_y")) & _fits("n_x", "n_y", percent) & (F.greatest("level_x", "level_y") <= need))
-    return pairs.groupBy(F.col("doc_x").alias("x"), F.col("doc_y").alias("y")).agg(F.count("*").alias("hits"), F.first(need).alias("need")).where("hits >= need").select("x", "y")
+    x, y = (lists.select("token", F.struct("doc", "n", "at", "matches", "component").alias(k)) for k in "xy")
+    apart = (F.col("x.doc") < F.col("y.doc")) & (F.col("x.component") != F.col("y.component"))
+    pairs = x.join(y, "token").where(apart & _fits(F.col("x"), F.col("y"), percent))
+    need = F.least("x.matches", "y.matches")
+    return pairs.groupBy(F.col("x.doc").alias("x"), F.col("y.doc").alias("y")).agg(F.count("*").alias("hits"), F.first(need).alias("need")).where("hits >= need").select("x", "y")
 
 
 def _crowds(parts: int):
@@ -298,14 +305,14 @@ def link_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     left = sets.agg(F.coalesce(F.sum(F.length("tokens") / 8), F.lit(0))).first()[0]
     parts = max(1, math.ceil(left / BUCKET_KEYS))
     sets = _shared(sets.mapInArrow(_deal_again(max(0, (parts - 1).bit_length())), PACKAGE), sets.select(F.col("doc").alias("doc_id"), "n"), parts, percent)
-    lists = staged(sets.mapInArrow(_postings(percent), "token long, doc long, n long, level int, matches int, df long"), "postings")
+    lists = staged(sets.mapInArrow(_postings(percent), "token long, doc long, n long, at int, matches int, df long"), "postings")
     tested = spark.createDataFrame([], "x long, y long")
     found = spark.createDataFrame([], "node long, component long")
     turn, last = 0, False
     while not last:
         last = turn >= rounds
         # a list within one component leads nowhere, now or later
-        placed = lists.join(found, lists["doc"] == found["node"], "left").select("token", "doc", "n", "level", "matches", "df", F.coalesce("component", "doc").alias("component"))
+        placed = lists.join(found, lists["doc"] == found["node"], "left").select("token", "doc", "n", "at", "matches", "df", F.coalesce("component", "doc").alias("component"))
         mixed = placed.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("token")
         placed = staged(placed.join(mixed, "token", "left_semi"), "lists")
         lists = placed.drop("component")
