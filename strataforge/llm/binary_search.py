@@ -125,5 +125,5 @@ def top_k(base: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
     # the stated query set in blocks, each once for every shard
     sent = packed.select("queries", "codes", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"))
     found = dealt.groupBy("shard").cogroup(sent.groupBy("shard")).applyInArrow(_search(k), "query_id long, id long, distance int")
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy("distance", "id"))
+    rank = F.row_number().over(W.partitionBy("query_id").orderBy("distance", "id")).cast("long")
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "id", "distance")
