@@ -264,13 +264,36 @@ def _partners(lists: DataFrame, turn: int, percent: int) -> DataFrame:
     return best.select(F.least("doc", -F.col("b.o")).alias("x"), F.greatest("doc", -F.col("b.o")).alias("y")).distinct()
 
 
-def _crossing(lists: DataFrame, percent: int) -> DataFrame:
-    """All candidate pairs of different components."""
-    x, y = (lists.select("token", F.struct("doc", "n", "at", "matches", "component").alias(k)) for k in "xy")
-    apart = (F.col("x.doc") < F.col("y.doc")) & (F.col("x.component") != F.col("y.component"))
-    pairs = x.join(y, "token").where(apart & _fits(F.col("x"), F.col("y"), percent))
-    need = F.least("x.matches", "y.matches")
-    return pairs.groupBy(F.col("x.doc").alias("x"), F.col("y.doc").alias("y")).agg(F.count("*").alias("hits"), F.first(need).alias("need")).where("hits >= need").select("x", "y")
+def _prefixes(percent: int):
+    """(doc, alone, prefix): how many unshared shingles a class has, and the shared ones of its prefix in order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches):
+            alone, out = [], []
+            for n, tokens, dfs in zip(*(batch.column(c).to_pylist() for c in ("n", "tokens", "dfs")), strict=True):
+                dfs = np.frombuffer(dfs, np.uint32)
+                alone.append(n - len(dfs))
+                out.append(np.frombuffer(tokens, np.int64)[: len(prefix(n, dfs, percent)[1])])
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(alone, pa.int64()), pa.array(out, pa.list_(pa.int64()))], names=["doc", "alone", "prefix"])
+
+    return run
+
+
+def _crossing(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All candidate pairs of different components, each once: at the last of the shingles that it must share within its prefixes."""
+    whole = sets.join(lists.select("doc").distinct(), "doc", "left_semi").mapInArrow(_prefixes(percent), "doc long, alone long, prefix array<long>")
+    rows = lists.join(whole, "doc")
+    x, y = (rows.select("token", F.struct("doc", "n", "at", "matches", "component", "alone", "prefix").alias(k)) for k in "xy")
+    one, two = F.col("x"), F.col("y")
+    need = F.least(one["matches"], two["matches"])
+    overlap = F.ceil(percent * (one["n"] + two["n"]) / (100 + percent))
+
+    def within(d):
+        return F.slice(d["prefix"], F.lit(1), F.greatest(d["n"] - overlap + need - d["alone"], F.lit(0)).cast("int"))
+
+    apart = (one["doc"] < two["doc"]) & (one["component"] != two["component"])
+    last = F.get(F.array_intersect(within(one), within(two)), need - 1) == F.col("token")
+    return x.join(y, "token").where(apart & _fits(one, two, percent) & last).select(one["doc"].alias("x"), two["doc"].alias("y"))
 
 
 def _crowds(parts: int):
@@ -316,7 +339,7 @@ def link_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
         mixed = placed.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("token")
         placed = staged(placed.join(mixed, "token", "left_semi"), "lists")
         lists = placed.drop("component")
-        pairs = _crossing(placed, percent) if last else _partners(placed, turn, percent)
+        pairs = _crossing(placed, sets, percent) if last else _partners(placed, turn, percent)
         verified = _links(pairs.join(tested, ["x", "y"], "left_anti"), sets, percent)
         fresh = verified.where("ok").select("x", "y")
         if not fresh.isEmpty():
