@@ -8,8 +8,8 @@ The alphabet bounds every table by 32**ORDER rows (a million, 4 MB of logarithms
 which is why the finished table may be broadcast.  A document's perplexity is that of its whole text;
 it is kept if it isn't above its language's quantile of the trusted texts' perplexities.
 
-Trusted: rows labelled quality 1, at most TRUSTED_DOCS of them by hash (a documented bound).  A half of
-them trains the model, the other sets the quantiles, so that these hold for texts it hasn't seen.  Languages
+Trusted: all rows labelled quality 1.  A half of them, by hash, trains the model, the other sets the
+quantiles, so that these hold for texts it hasn't seen.  Languages
 with fewer than LEAST_TRUSTED trusted texts, and null languages, use the quantile of all trusted texts.
 
 Null and empty texts have a null perplexity and aren't kept; without trusted text every order is uniform;
@@ -29,7 +29,7 @@ from .store import pick, staged
 from .words import row_groups, text_buffer
 
 ORDER, BITS = 4, 5
-TRUSTED_DOCS, LEAST_TRUSTED = 20_000, 30
+LEAST_TRUSTED = 30
 QUANTILE = 0.995
 PIECE = 1 << 20
 
@@ -117,27 +117,28 @@ def _score(table):
             total, n = ends[off[1:]] - ends[off[:-1]], np.diff(off)
             some = n > 0
             value = np.power(10.0, -total / np.maximum(n, 1))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), batch.column("trusted"), pa.array(n, pa.int64()), pa.array(value, pa.float64(), mask=~some)], names=["doc_id", "lang", "trusted", "n_symbols", "perplexity"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), pa.array(n, pa.int64()), pa.array(value, pa.float64(), mask=~some)], names=["doc_id", "lang", "n_symbols", "perplexity"])
 
     return run
 
 
-def _trains():
-    return F.pmod(F.xxhash64(F.lit(29), "doc_id"), F.lit(2)) == 0
+def _trains(key: str = "doc_id"):
+    return F.pmod(F.xxhash64(F.lit(29), key), F.lit(2)) == 0
 
 
 def rate_quality(docs: DataFrame, trusted_ids: DataFrame, quantile: float = QUANTILE, text: str = "text", lang: str = "lang", key: str = "doc_id") -> DataFrame:
     """One row per document: doc_id, lang, n_symbols, perplexity, threshold, kept. trusted_ids: one column of ids."""
     spark = docs.sparkSession
     ids = trusted_ids.select(F.col(trusted_ids.columns[0]).cast("long").alias("id")).where("id IS NOT NULL").distinct()
-    ids = F.broadcast(staged(ids.orderBy(F.xxhash64(F.lit(7), "id"), "id").limit(TRUSTED_DOCS), "trusted"))  # TRUSTED_DOCS longs
+    ids = staged(ids, "trusted")
     rows = pick(docs, doc_id=key, text=text, lang=lang).withColumns({"doc_id": F.col("doc_id").cast("long"), "lang": F.col("lang").cast("string")})
-    grams = staged(rows.join(ids, rows["doc_id"] == ids["id"], "left_semi").where(_trains()).mapInArrow(_count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")), "grams")
+    fitted = ids.where(_trains("id"))
+    grams = staged(rows.join(fitted, rows["doc_id"] == fitted["id"], "left_semi").select("text").mapInArrow(_count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")), "grams")
     model = [tuple(r) for r in kneser_ney(grams).toLocalIterator()]  # at most 32**ORDER rows an order
     table = spark.sparkContext.broadcast(dense(model))
-    marked = rows.join(ids, rows["doc_id"] == ids["id"], "left").select("doc_id", "text", "lang", F.col("id").isNotNull().alias("trusted"))
-    rated = staged(marked.mapInArrow(_score(table), "doc_id long, lang string, trusted boolean, n_symbols long, perplexity double"), "rated")
-    bound = rated.where("trusted AND perplexity IS NOT NULL").where(~_trains())
+    rated = staged(rows.mapInArrow(_score(table), "doc_id long, lang string, n_symbols long, perplexity double"), "rated")
+    others = ids.where(~_trains("id"))
+    bound = rated.where("perplexity IS NOT NULL").join(others, rated["doc_id"] == others["id"], "left_semi")
     whole = bound.agg(F.percentile_approx("perplexity", quantile, 10_000)).first()[0]
     by = bound.where("lang IS NOT NULL").groupBy(F.col("lang").alias("of")).agg(F.percentile_approx("perplexity", quantile, 10_000).alias("threshold"), F.count("*").alias("n")).where(F.col("n") >= LEAST_TRUSTED)
     out = rated.join(by, rated["lang"] == by["of"], "left").withColumn("threshold", F.coalesce("threshold", F.lit(whole).cast("double")))

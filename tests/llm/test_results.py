@@ -202,6 +202,17 @@ def test_quality(spark):
     assert by[1] > 0.95 and by[0] < 0.4
 
 
+def test_quality_thresholds_use_every_trusted_row(spark):
+    rare = F.col("id") % 600 == 0
+    text = F.concat(F.when(rare, "zq xv ").otherwise("and the "), F.substring(F.sha2(F.col("id").cast("string"), 256), 1, 8))
+    docs = spark.range(60_000).select(F.col("id").alias("doc_id"), text.alias("text"), F.when(rare, "rare").otherwise("common").alias("lang"))
+    got = quality.rate_quality(docs, docs.select("doc_id")).where("lang = 'rare'")
+    rows = got.withColumn("fits", quality._trains()).collect()
+    own = [r["perplexity"] for r in rows if not r["fits"]]
+    assert len(rows) == 100 and quality.LEAST_TRUSTED <= len(own) < 100
+    assert {r["threshold"] for r in rows} == {max(own)}  # the 0.995 quantile of fewer than 200
+
+
 def test_kneser_ney_sums_to_one(spark):
     grams = spark.createDataFrame([(1 << 10 | 2 << 5 | 3, 5), (1 << 10 | 2 << 5 | 4, 1), (2 << 10 | 2 << 5 | 3, 2), (7, 3)], "gram long, n long")
     table = 10.0 ** quality.dense([tuple(r) for r in quality.kneser_ney(grams).collect()]).astype(float)
