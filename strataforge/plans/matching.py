@@ -45,6 +45,17 @@ def lookup_exact_or_contains(spark, d):
     return lookup.exact_or_contained(rows, F.col("p_name"), dim).select(F.col("_ord").alias("id"), F.col("hit.ord").alias("ord"), "exact")
 
 
+@register("""WITH t AS (SELECT p_partkey AS id, lower(p_name) AS x FROM part WHERE p_name <> ''), e AS (SELECT t.id, min(b.id) AS ord FROM t JOIN t b ON t.x = b.x GROUP BY t.id),
+    r AS (SELECT * FROM t WHERE id NOT IN (SELECT id FROM e)), c AS (SELECT r.id, min(b.id) AS ord FROM r JOIN t b ON contains(r.x, b.x) OR contains(b.x, r.x) GROUP BY r.id)
+    SELECT id, ord, true AS exact FROM e UNION ALL SELECT id, ord, false FROM c""")
+def lookup_exact_or_contains_all(spark, d):
+    """lookup_exact_or_contains with all of part as the dimension."""
+    parts = table(spark, d, "part")
+    dim = parts.select(F.col("p_partkey").alias("ord"), F.col("p_name").alias("name"))
+    rows = parts.select(F.col("p_partkey").alias("_ord"), "p_name")
+    return lookup.exact_or_contained(rows, F.col("p_name"), dim).select(F.col("_ord").alias("id"), F.col("hit.ord").alias("ord"), "exact")
+
+
 @register("""WITH t AS (SELECT doc_id, unnest(regexp_split_to_array(text, ' ')) AS w, generate_subscripts(regexp_split_to_array(text, ' '), 1) AS pos FROM documents),
     k AS (SELECT unnest(['the', 'der', 'de', 'la', 'thing', 'ung']) AS w)
     SELECT doc_id, arg_min(w, pos) AS word FROM t JOIN k USING (w) GROUP BY doc_id""")
