@@ -204,6 +204,12 @@ def prefix_drop_projection(spark, d):
     return records.drop_prefixed(records.drop_prefixed(rows, "l_ship"), "l_return").drop("l_linestatus")
 
 
+@register("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem")
+def prefix_drop_projection_all(spark, d):
+    """prefix_drop_projection over the whole of lineitem."""
+    return records.drop_prefixed(records.drop_prefixed(table(spark, d, "lineitem"), "l_ship"), "l_return").drop("l_linestatus")
+
+
 @register("""SELECT doc_id, md5(substr(CASE WHEN strpos(text, ' the ') > 1 THEN substr(text, 1, strpos(text, ' the ') - 1) WHEN strpos(text, ' der ') > 1 THEN substr(text, 1, strpos(text, ' der ') - 1) ELSE text END, 1, 1500)) AS listed,
     md5(substr(substr(text, 1, (least(CASE WHEN strpos(text, ' the ') > 1 THEN strpos(text, ' the ') ELSE 1000000000 END, CASE WHEN strpos(text, ' der ') > 1 THEN strpos(text, ' der ') ELSE 1000000000 END) - 1)), 1, 1500)) AS earliest FROM documents""")
 def head_truncate(spark, d):

@@ -78,6 +78,16 @@ def range_join_box(spark, d):
     return out.select("_ord.*", F.array_join("countries", ",").alias("boxes"))
 
 
+@register(f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, string_agg(b.name, ',' ORDER BY b.ord) AS boxes
+    FROM lineitem JOIN (VALUES {', '.join(map(str, _BOXES))}) b(ord, name, q0, q1, p0, p1) ON l_quantity BETWEEN q0 AND q1 AND l_extendedprice BETWEEN p0 AND p1 GROUP BY ALL""")
+def range_join_box_all(spark, d):
+    """range_join_box over the whole of lineitem."""
+    boxes = spark.createDataFrame([(o, n, *map(float, b)) for o, n, *b in _BOXES], "ord int, country string, lat_lo double, lat_hi double, lon_lo double, lon_hi double")
+    rows = table(spark, d, "lineitem").withColumn("_ord", F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
+    out = lookup.boxes_around(rows, F.col("l_quantity"), F.col("l_extendedprice"), boxes)
+    return out.select("_ord.*", F.array_join("countries", ",").alias("boxes"))
+
+
 _CIRCLES = ((0, "a", 0.0, 0.0, 800.0), (1, "b", 10.0, 20.0, 1200.0), (2, "c", 20.0, 60.0, 2000.0))
 
 

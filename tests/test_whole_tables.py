@@ -32,3 +32,12 @@ def test_lookup_by_containment(spark):
     found = lookup.exact_or_contained(rows, F.col("t"), dim).select("_ord", "hit.ord", "exact").collect()
     assert {tuple(r) for r in found} == brute(texts, entries)
     assert any(not r["exact"] for r in found)
+
+
+def test_box_and_projection_over_all_of_lineitem(spark):
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").collect()
+    boxes = ((1, 10, 900, 20000), (8, 30, 10000, 50000), (25, 50, 40000, 110000))
+    inside = [r for r in lines if any(a <= r["l_quantity"] <= b and c <= r["l_extendedprice"] <= e for a, b, c, e in boxes)]
+    assert QUERIES["prefix_drop_projection_all"](spark, "/root/testdata/sf0.001").count() == len(lines)
+    assert QUERIES["range_join_box_all"](spark, "/root/testdata/sf0.001").count() == len({(r["l_orderkey"], r["l_linenumber"], r["l_partkey"], r["l_suppkey"]) for r in inside})
+    assert len(inside) > len([r for r in inside if r["l_discount"] > 0.08])
