@@ -213,6 +213,50 @@ def test_quality_thresholds_use_every_trusted_row(spark):
     assert {r["threshold"] for r in rows} == {max(own)}  # the 0.995 quantile of fewer than 200
 
 
+def brute_perplexity(train, texts, order=4):
+    """Interpolated modified Kneser-Ney over code points, from the definition."""
+    levels = {order: collections.Counter(tuple(p[i : i + order]) for t in train for p in [[""] * (order - 1) + list(t)] for i in range(len(t)))}
+    for k in range(order - 1, 0, -1):
+        levels[k] = collections.Counter(g[1:] for g in levels[k + 1])
+    size, cuts, contexts = len(levels[1]) + 1, {}, {}
+    for k, level in levels.items():
+        t = [max(1, sum(n == c for n in level.values())) for c in (1, 2, 3, 4)]
+        y = t[0] / (t[0] + 2 * t[1])
+        cuts[k] = [max(0.05, min(c - 0.05, c - (c + 1) * y * t[c] / t[c - 1])) for c in (1, 2, 3)]
+        for g, n in level.items():
+            contexts.setdefault(g[:-1], []).append(n)
+
+    def p(g):
+        if not g:
+            return 1 / size
+        seen, cut = contexts.get(g[:-1], []), cuts[len(g)]
+        if not seen:
+            return p(g[1:])
+        n = levels[len(g)].get(g, 0)
+        return ((n - cut[min(n, 3) - 1] if n else 0) + sum(cut[min(x, 3) - 1] for x in seen) * p(g[1:])) / sum(seen)
+
+    out = []
+    for t in texts:
+        padded = [""] * (order - 1) + list(t)
+        out.append(math.exp(-sum(math.log(p(tuple(padded[i : i + order]))) for i in range(len(t))) / len(t)))
+    return out
+
+
+def test_quality_agrees_with_brute_force(spark, monkeypatch):
+    words = {"ru": "не все дома белые ночи", "zh": "天地玄黄 宇宙洪荒 日月", "en": "the quick Brown fox ran", "el": "και το νερό είναι"}
+    rng = random.Random(3)
+    rows = [(k, " ".join(rng.choice(words[lang].split()) for _ in range(rng.randrange(1, 40))), lang) for k in range(80) for lang in [rng.choice(list(words))]]
+    rows += [(80 + k, t, "en") for k, t in enumerate(["THE QUICK", "ыыыы щщщ", "😀 x", "a", "地天黄玄", "Brown"])]
+    monkeypatch.setattr(quality, "PIECE", 64)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    trusted = docs.where("doc_id < 60").select("doc_id")
+    fits = {r["doc_id"] for r in trusted.where(quality._trains()).collect()}
+    got = {r["doc_id"]: r for r in quality.rate_quality(docs, trusted).collect()}
+    want = brute_perplexity([t for k, t, _ in rows if k in fits], [t for _, t, _ in rows])
+    assert [got[k]["n_symbols"] for k, _, _ in rows] == [len(t) for _, t, _ in rows]
+    assert np.allclose([got[k]["perplexity"] for k, _, _ in rows], want, rtol=1e-4)
+
+
 def test_kneser_ney_sums_to_one(spark):
     grams = spark.createDataFrame([(1 << 10 | 2 << 5 | 3, 5), (1 << 10 | 2 << 5 | 4, 1), (2 << 10 | 2 << 5 | 3, 2), (7, 3)], "gram long, n long")
     table = 10.0 ** quality.dense([tuple(r) for r in quality.kneser_ney(grams).collect()]).astype(float)
