@@ -7,7 +7,9 @@ The score is the margin to the runner-up relative to what the best dictionary sa
 whose margin is below MARGIN are marked as rejected.
 
 Training: rows with a text, a label and a truth of `train`; the sample is bounded by SAMPLE_DOCS rows
-a language and DICTIONARY_BYTES of them (documented parameters), drawn by a hash of the key.
+a language and DICTIONARY_BYTES of them (documented parameters), drawn by a hash of the key.  Languages
+that fill DICTIONARY_BYTES have dictionaries of equal size; one with less text keeps its own shorter one and
+changes no other's.
 
 A null text or one without a letter is `und` with score 0 and rejected; with one learned language
 every other text gets it; with none all are `und`.  Ties go to the language first by code point.
@@ -73,8 +75,7 @@ def learn(docs: DataFrame, train: Column | None = None, text: str = "text", lang
         whole = b"\n".join(dict.fromkeys(found))
         if whole:
             out[s] = whole[:DICTIONARY_BYTES]
-    least_size = min(map(len, out.values()), default=0)
-    return {s: d[: max(least_size, 8 << 10)] for s, d in out.items()}  # of about equal size, so that none wins by its size
+    return out
 
 
 class Compressors:

@@ -213,6 +213,16 @@ def test_quality_thresholds_use_every_trusted_row(spark):
     assert {r["threshold"] for r in rows} == {max(own)}  # the 0.995 quantile of fewer than 200
 
 
+def test_rare_language_leaves_other_dictionaries_whole(spark):
+    texts = {lang: noise(seed, 400, letters + " ", 2000) for seed, (lang, letters) in enumerate({"aa": "abcdefgh", "bb": "mnopqrst"}.items())}
+    rows = [(k, lang, t) for lang, found in texts.items() for k, t in enumerate(found) if t.strip()]
+    schema = "doc_id long, lang string, text string"
+    alone = langid.learn(spark.createDataFrame(rows, schema), F.lit(True))
+    rare = langid.learn(spark.createDataFrame([*rows, (1, "zz", "uvw xyz uvw")], schema), F.lit(True))
+    assert rare["zz"] == b"uvw xyz uvw" and {s: rare[s] for s in alone} == alone
+    assert all(len(d) == langid.DICTIONARY_BYTES for d in alone.values())
+
+
 def brute_perplexity(train, texts, order=4):
     """Interpolated modified Kneser-Ney over code points, from the definition."""
     levels = {order: collections.Counter(tuple(p[i : i + order]) for t in train for p in [[""] * (order - 1) + list(t)] for i in range(len(t)))}
