@@ -27,16 +27,17 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest doc_id."""
+    """Of each group of linked documents the one with the smallest doc_id; rows with null doc_id take no part in links and stay."""
     found = ngram_join.link_components(docs)
-    kept = found.where("component_id = doc_id").select(F.col("doc_id").alias("keep"))
-    return docs.join(kept, docs["doc_id"] == kept["keep"], "left_semi")
+    kept = found.where("component_id = doc_id OR doc_id IS NULL").select(F.col("doc_id").alias("keep"))
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["keep"]), "left_semi")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in the mix, as often as it takes them."""
-    copies = mixing.mix_sources(docs).where("copies > 0").select(F.col("doc_id").alias("mixed"), F.col("copies").cast("int").alias("copies"))
-    return docs.join(copies, docs["doc_id"] == copies["mixed"]).withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*docs.columns)
+    """Documents in the mix, as often as it takes them; rows are told apart by a key of their own, so null and repeated doc_ids are mixed like others."""
+    rows = staged(docs.withColumn("_place", F.monotonically_increasing_id()), "mixed-rows")
+    copies = mixing.mix_sources(rows, place="_place").where("copies > 0").select(F.col("place").alias("mixed"), F.col("copies").cast("int").alias("copies"))
+    return rows.join(copies, rows["_place"] == copies["mixed"]).withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*docs.columns)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -50,12 +50,13 @@ def order_sources(names) -> list:
     return sorted((n for n in names if n is not None)) + [None] * (None in names)
 
 
-def mix_sources(docs: DataFrame, weights=WEIGHTS, seed: int = 17, most: int = MOST, budget: float | None = None, text: str = "text", key: str = "doc_id", source: str = "source") -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken, source, copies."""
+def mix_sources(docs: DataFrame, weights=WEIGHTS, seed: int = 17, most: int = MOST, budget: float | None = None, text: str = "text", key: str = "doc_id", source: str = "source", place: str | None = None) -> DataFrame:
+    """One row per document: doc_id, size, source_size, target, taken, source, copies. place: a column that tells rows apart, given back as place."""
+    more = ["place"] if place else []
     spark = docs.sparkSession
     size = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
     rows = staged(
-        pick(docs, doc_id=key, source=source, text=text).select(F.col("doc_id").cast("long"), F.col("source").cast("string"), size.alias("size"))
+        pick(docs, doc_id=key, source=source, text=text, **({"place": place} if place else {})).select(*more, F.col("doc_id").cast("long"), F.col("source").cast("string"), size.alias("size"))
         .withColumn("key", F.xxhash64(F.lit(seed), "doc_id"))
         .withColumn("row", F.monotonically_increasing_id())
         .withColumn("lane", F.coalesce(F.concat(F.lit("="), "source"), F.lit("-"))),
@@ -88,4 +89,4 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, seed: int = 17, most: int = MO
     offsets = offsets.select("part", F.coalesce(F.sum("in_part").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     used = ranged.join(offsets, "part").withColumn("total", F.col("before") + F.sum("size").over(W.partitionBy("part").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)))
     taken = used.where(F.col("total") <= F.lit(float(budget))).groupBy("row").agg(F.sum("size").alias("taken"), F.count("*").alias("copies"))
-    return rows.join(lanes, "lane").join(taken, "row", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"), "source", F.coalesce("copies", F.lit(0).cast("long")).alias("copies"))
+    return rows.join(lanes, "lane").join(taken, "row", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"), "source", F.coalesce("copies", F.lit(0).cast("long")).alias("copies"), *more)
