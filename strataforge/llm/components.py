@@ -67,5 +67,7 @@ def components(links: DataFrame, rounds: int = 60, local: int = LOCAL_LINKS) ->
         if after == before:
             break
         before = after
+    else:
+        raise RuntimeError(f"components have not settled after {rounds} rounds")
     # every edge now points at its component's smallest node
     return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -314,7 +314,7 @@ def _shared(packages: DataFrame, members: DataFrame, parts: int, percent: int) -
 
 
 def link_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, text: str = "text", key: str = "doc_id", rounds: int = ROUNDS) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, class_id (smallest doc_id with the same set), linked."""
+    """One row per document: doc_id, n_shingles, component_id, class_id (smallest doc_id with the same set)."""
     spark = docs.sparkSession
     texts = pick(docs, doc_id=key, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
     facts = staged(texts.mapInArrow(_facts(size), "doc_id long, n long, one long, two long"), "facts")

@@ -2,8 +2,10 @@
 
 import collections
 
+import pytest
+
 import corpus_pipeline
-from strataforge.llm import mixing
+from strataforge.llm import components, mixing
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 ROWS = [
@@ -34,3 +36,10 @@ def test_mix_takes_each_row_as_often_as_told(spark):
         want[r["doc_id"], r["source"]] += r["copies"]
     assert collections.Counter((r["doc_id"], r["source"]) for r in got) == +want
     assert want[None, None] > 0 and want[None, "a"] > 0
+
+
+def test_components_that_have_not_settled_are_an_error(spark):
+    chain = spark.range(40).selectExpr("id AS x", "id + 1 AS y")
+    with pytest.raises(RuntimeError, match="settled"):
+        components.components(chain, rounds=1, local=0)
+    assert {r["component"] for r in components.components(chain, local=0).collect()} == {0}
