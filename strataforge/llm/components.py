@@ -1,73 +1,45 @@
-"""Connected components: a union-find in one task while the links are few, else alternating large-star and small-star steps.
+"""Connected components by alternating large-star and small-star steps, at every size alike.
 
-The number of links is counted first; LOCAL_LINKS pairs of longs are a bound that any task can hold.
+A large star ties every larger neighbour of a node to the smallest node of its neighbourhood, a small star ties the smaller ones.  A
+star's centre may have any number of neighbours: its minimum is pre-aggregated before the shuffle and joined back, so no neighbourhood
+is gathered in a task.  The steps go on until every node points at one that points at none; each writes its edges to the shared folder,
+so a lost executor costs one step at most.
+
+Links with a null end and links of a node with itself tie nothing; repeated links count once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import staged
-
-
-LOCAL_LINKS = 500_000
-
-
-def _unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All links of one task to (node, component)."""
-    found = [(b.column("u").to_numpy(), b.column("v").to_numpy()) for b in batches]
-    if not found:
-        return
-    ends = np.concatenate([np.stack(f) for f in found], axis=1)
-    nodes, place = np.unique(ends, return_inverse=True)
-    place = place.reshape(ends.shape)
-    label = np.arange(len(nodes))
-    while True:  # labels fall to the smallest of a link's ends, then to their own labels' labels
-        low = label.copy()
-        np.minimum.at(low, label[place[0]], label[place[1]])
-        np.minimum.at(low, label[place[1]], label[place[0]])
-        low = low[low]
-        if (low == label).all():
-            break
-        label = low
-    for k in range(0, len(nodes), 50_000):
-        yield pa.RecordBatch.from_arrays([pa.array(nodes[k : k + 50_000]), pa.array(nodes[label[k : k + 50_000]])], names=["node", "component"])
+from .store import free, staged
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _settled(edges: DataFrame) -> bool:
+    """Whether edges(u, v) are stars: no node points at two others, or at one and is pointed at."""
+    out = edges.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("in"))
+    ends = out.unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("in")))
+    return ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("in").alias("in")).where("out > 1 OR (out = 1 AND in = 1)").isEmpty()
 
 
-def components(links: DataFrame, rounds: int = 60, local: int = LOCAL_LINKS) -> DataFrame:
+def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
     """links(x, y) of longs to one row (node, component) for each node of a link; component: the smallest node reachable.
 
-    A star's centre may have any number of neighbours: its minimum is pre-aggregated before the shuffle and joined back, so no
-    neighbourhood is gathered.  Each round is written to the shared folder, so a lost executor costs one round at most.
+    rounds: more of them are an error; by default there is no limit.
     """
-    edges = staged(links.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).where("u <> v"), "edges")
-    if edges.count() <= local:
-        return edges.coalesce(1).mapInArrow(_unite, "node long, component long")
-    edges = staged(edges.distinct(), "edges")
-    before = _state(edges)
-    for _ in range(rounds):
-        if not before[0]:
-            break
+    spark = links.sparkSession
+    edges = staged(links.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).where("x IS NOT NULL AND y IS NOT NULL AND u <> v").distinct(), "edges")
+    turn = 0
+    while not _settled(edges):
+        if turn == rounds:
+            raise RuntimeError(f"components have not settled after {rounds} rounds")
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        edges = staged(small, "edges")
-        after = _state(edges)
-        if after == before:
-            break
-        before = after
-    else:
-        raise RuntimeError(f"components have not settled after {rounds} rounds")
-    # every edge now points at its component's smallest node
-    return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
+        before, edges = edges, staged(small.where("u <> v").distinct(), "edges")
+        free(spark, before)
+        turn += 1
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -2,32 +2,67 @@
 
 from __future__ import annotations
 
+import atexit
+import gc
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_FOLDERS: set[str] = set()
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's spark.checkpoint.dir; a temporary folder only where it is unset on a local master, as in tests."""
+    """The session's spark.checkpoint.dir; a temporary folder only where it is unset on a one-process local master, as in tests."""
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if found:
         return found.rstrip("/")
-    if not sc.master.startswith("local"):
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="strataforge-")
     sc.setCheckpointDir(folder)
     return folder
 
 
+def _delete(sc: SparkContext, path: str) -> None:
+    folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(sc._jvm.org.apache.hadoop.conf.Configuration() if sc._jsc is None else sc._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """df written as Parquet to the shared folder and read again: cuts the lineage, survives lost executors."""
+    """df written as Parquet to the shared folder and read again: cuts the lineage, survives lost executors.
+
+    The application owns the table: free() deletes it, and what is left goes when the driver ends.
+    """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    folder = f"{shared_dir(spark)}/strataforge-{spark.sparkContext.applicationId}"
+    if folder not in _FOLDERS:
+        _FOLDERS.add(folder)
+        atexit.register(_leave, spark.sparkContext, folder)
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def _leave(sc: SparkContext, folder: str) -> None:
+    try:
+        _delete(sc, folder)
+    except (Py4JError, OSError, AttributeError):  # the JVM went first
+        pass
+
+
+def free(spark: SparkSession, *tables: DataFrame) -> None:
+    """Deletes staged tables that no later step reads, and lets Spark drop the shuffles of finished steps now instead of at some later collection."""
+    for table in tables:
+        _delete(spark.sparkContext, table._staged_at)
+    gc.collect()
+    spark.sparkContext._jvm.java.lang.System.gc()
 
 
 def pick(df: DataFrame, **names: str) -> DataFrame:

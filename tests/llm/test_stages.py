@@ -41,5 +41,5 @@ def test_mix_takes_each_row_as_often_as_told(spark):
 def test_components_that_have_not_settled_are_an_error(spark):
     chain = spark.range(40).selectExpr("id AS x", "id + 1 AS y")
     with pytest.raises(RuntimeError, match="settled"):
-        components.components(chain, rounds=1, local=0)
-    assert {r["component"] for r in components.components(chain, local=0).collect()} == {0}
+        components.components(chain, rounds=1)
+    assert {r["component"] for r in components.components(chain).collect()} == {0}
