@@ -1,18 +1,20 @@
 """Operator 2: scoring by a weighted backoff automaton.
 
-The model is a bigram model with hierarchical Dirichlet smoothing.  Its states are the words seen in
-training, the start of a text and a root; an arc from v over w weighs
-log10((c(vw) + m P(w)) / (c(v) + m)), and where there is none the failure arc, log10(m / (c(v) + m)),
-leads to the root, whose arc over w weighs log10 P(w) with P(w) = (c(w) + 1) / (N + V + 1).  A text is
-read once from left to right: every token leads on to its word's state, or to the root.
-
-Counts are as large as the corpus, so no one holds them.  Texts are cut into chunks of CHUNK_BYTES;
-a chunk asks for its own distinct words and bigrams in sorted blobs dealt out by hash; each bucket adds
-up what the chunks' training texts hold and answers every chunk in its order.  The part of the automaton
-that a chunk can reach is then built from its answers and its texts are scored.
-
-Words are told apart by 64-bit hashes, bigrams by hashes of 20 bits more than it takes to number the
-tokens (at most 64), so that a bigram meets another's hash once in a million.
+The model is a trigram model with hierarchical Dirichlet smoothing.  Its states are the contexts seen in training: two words, the start
+of a text and a word, a word, the start, and a root.  An arc over w from a state that c tokens of training left, c(w) of them by w, weighs
+log10((c(w) + m P(w)) / (c + m)) with P(w) what the shorter context says, and leads to the state of the last two words.  Where a state
+has no arc over w, its failure arc, log10(m / (c + m)), leads to the state of the shorter context; the root's arc over w weighs
+log10((c(w) + 1) / (N + V + 1)) and leads to the word's state, or back to the root.  A text is read once from left to right: the state is
+carried on, and over each token failure arcs are followed until an arc fits.  Smoothing needs only counts, so no context's followers are
+gathered.
+
+Counts are as large as the corpus, so no one holds them.  Texts are cut into chunks of CHUNK_BYTES; a chunk asks for its own distinct
+n-grams in sorted blobs dealt out by hash; each bucket adds up what the chunks' training texts hold and answers every chunk in its order.
+So a frequent word costs its bucket an entry a chunk, not one an occurrence.  The part of the automaton that a chunk can reach is
+then built from its answers and its texts are scored.  Trigrams are asked for after shorter n-grams, so that only one of these shuffles is
+on disk at a time.
+
+N-grams are told apart by 64-bit hashes.
 
 Null and empty texts consist of the end token alone; rows with null doc_id are held out of nothing and
 train; repeated rows train as often as they occur; an empty table gives an empty result; with no training
@@ -26,17 +28,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .packed import pack, unpack
-from .store import pick, staged
+from .store import free, pick, staged
 from .words import mix, row_groups, text_buffer, word_hashes
 
-CHUNK_BYTES = 3 << 20
+CHUNK_BYTES = 4 << 20
 BUCKET_KEYS = 1 << 20
-STRENGTH = 30.0
+#: m of contexts of one and of two words.
+STRENGTHS = (300.0, 30.0)
+#: Steps that parts of texts take side by side.
+STEPS = 128
 #: Hashes that stand for the end token and for the state before the first.
 END, START = np.uint64(0x5EED0E2D), np.uint64(0x5EED57A7)
 
@@ -57,25 +63,23 @@ def _numbers(blob: bytes) -> np.ndarray:
 
 
 def _chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of one chunk each: its documents, its distinct words and its texts as places among these."""
+    """Rows of one chunk each: its documents, their texts, how many tokens and training texts and tokens it has."""
     part, seq = TaskContext.get().partitionId(), 0
     for batch in row_groups(batches, "text", CHUNK_BYTES):
-        hashes, counts = word_hashes(*text_buffer(batch.column("text")))
-        ends = np.cumsum(counts)
-        stream = np.insert(hashes, ends, END)
-        vocabulary, place = np.unique(stream, return_inverse=True)
-        ids = batch.column("doc_id")
+        buf, off = text_buffer(batch.column("text"))
+        ids, held = batch.column("doc_id"), batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+        lengths = word_hashes(buf, off)[1] + 1
         yield pa.RecordBatch.from_arrays([
             pa.array([part << 32 | seq], pa.int64()),
             pa.array([ids.fill_null(0).to_numpy().tobytes()], pa.binary()),
             pa.array([np.packbits(ids.is_valid().to_numpy(zero_copy_only=False)).tobytes()], pa.binary()),
-            pa.array([np.packbits(batch.column("held_out").to_numpy(zero_copy_only=False)).tobytes()], pa.binary()),
-            pa.array([_number(counts + 1)], pa.binary()),
-            pa.array([pack(vocabulary)], pa.binary()),
-            pa.array([_number(place)], pa.binary()),
-            pa.array([len(stream)], pa.int64()),
-            pa.array([len(vocabulary)], pa.int64()),
-        ], names=["chunk", "ids", "valid", "held", "lengths", "vocabulary", "stream", "tokens", "words"])
+            pa.array([np.packbits(held).tobytes()], pa.binary()),
+            pa.array([_number(np.diff(off))], pa.binary()),
+            pa.array([zstandard.ZstdCompressor(level=3).compress(buf.tobytes())], pa.binary()),
+            pa.array([int(lengths.sum())], pa.int64()),
+            pa.array([int((~held).sum())], pa.int64()),
+            pa.array([int(lengths[~held].sum())], pa.int64()),
+        ], names=["chunk", "ids", "valid", "held", "lengths", "texts", "tokens", "train_texts", "train_tokens"])
         seq += 1
 
 
@@ -88,49 +92,60 @@ def pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
 
 
 class _Chunk:
-    """A chunk's row as arrays."""
+    """A chunk's tokens and the distinct n-grams that end at them, each order's in the order of their hashes."""
 
-    def __init__(self, row: dict, bits: int):
+    def __init__(self, row: dict):
         self.ids = np.frombuffer(row["ids"], np.int64)
         n = len(self.ids)
         self.valid = np.unpackbits(np.frombuffer(row["valid"], np.uint8), count=n).astype(bool)
         self.held = np.unpackbits(np.frombuffer(row["held"], np.uint8), count=n).astype(bool)
-        self.lengths = _numbers(row["lengths"])
-        self.vocabulary = unpack(row["vocabulary"])
-        self.place = _numbers(row["stream"]).astype(np.int32)
+        buf = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["texts"]), np.uint8)
+        hashes, counts = word_hashes(buf, np.append(0, np.cumsum(_numbers(row["lengths"]))))
+        stream = np.insert(hashes, np.cumsum(counts), END)
+        self.lengths = counts + 1
         self.begin = np.cumsum(self.lengths) - self.lengths
         self.train = np.repeat(~self.held, self.lengths)
-        # the state before each token: the word before it, or the start of a text
-        state = np.empty(len(self.place), np.int32)
-        state[1:] = self.place[:-1]
-        state[self.begin] = len(self.vocabulary)
-        self.state = state
-        pairs = pair_hashes(np.append(self.vocabulary, START)[state], self.vocabulary[self.place])
-        pairs >>= np.uint64(64 - bits)
-        self.bigrams, self.bigram = np.unique(pairs, return_inverse=True)
+        self.words, self.word = np.unique(stream, return_inverse=True)
+        before = np.empty_like(stream)
+        before[1:], before[self.begin] = stream[:-1], START
+        self.pairs = pair_hashes(before, stream)
+        self.stream = stream
+
+    def bigrams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct hashes, where each occurs first, and which of them ends at each token."""
+        return np.unique(self.pairs, return_index=True, return_inverse=True)
 
-    def trained(self, place: np.ndarray, n: int) -> np.ndarray:
-        return np.bincount(place[self.train], minlength=n)
+    def trigrams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """As bigrams(), and the places of the tokens that have one: all but a text's first, the text's start being the first word of its second's."""
+        inner = np.ones(len(self.stream), bool)
+        inner[self.begin] = False
+        at = np.flatnonzero(inner)
+        distinct, first, which = np.unique(pair_hashes(self.pairs[at - 1], self.stream[at]), return_index=True, return_inverse=True)
+        return distinct, at[first], which, at
 
 
-def _deal(word_bits: int, pair_bits: int, key_bits: int):
-    """Requests (bucket, chunk, keys, counts): words go to buckets below 2**word_bits, bigrams to those from there on."""
+def _deal(orders: list[tuple[int, int, int]]):
+    """Requests (bucket, chunk, keys, counts) for n-grams of the given orders; each is (order, first bucket, bits of its buckets)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1).to_pylist()[0]  # a chunk at a time
-                c = _Chunk(row, key_bits)
-                for base, bits, width, keys, counts in (
-                    (0, word_bits, 64, c.vocabulary, c.trained(c.place, len(c.vocabulary))),
-                    (1 << word_bits, pair_bits, key_bits, c.bigrams, c.trained(c.bigram, len(c.bigrams))),
-                ):
-                    cuts = np.searchsorted(keys, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(width - bits)).tolist() if bits else []
-                    bounds = [0, *cuts, len(keys)]
-                    rows = [(base + b, pack(keys[x:y]), _number(counts[x:y])) for b, (x, y) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)) if y > x]
+                c = _Chunk(row)
+                for order, base, bits in orders:
+                    if order == 1:
+                        keys, which, train = c.words, c.word, c.train
+                    elif order == 2:
+                        (keys, _, which), train = c.bigrams(), c.train
+                    else:
+                        keys, _, which, at = c.trigrams()
+                        train = c.train[at]
+                    counts = np.bincount(which[train], minlength=len(keys))
+                    cuts = np.searchsorted(keys, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)).tolist() if bits else []
+                    rows = [(base + b, pack(keys[x:y]), _number(counts[x:y])) for b, (x, y) in enumerate(zip([0, *cuts], [*cuts, len(keys)], strict=True)) if y > x]
                     for k in range(0, len(rows), 256):
                         some = list(zip(*rows[k : k + 256], strict=True))
-                        yield pa.RecordBatch.from_arrays([pa.array(some[0], pa.int32()), pa.array([row["chunk"]] * len(some[0]), pa.int64()), pa.array(some[1], pa.binary()), pa.array(some[2], pa.binary())], names=["bucket", "chunk", "keys", "counts"])
+                        yield pa.RecordBatch.from_arrays([pa.array(some[0], pa.int64()), pa.array([row["chunk"]] * len(some[0]), pa.int64()), pa.array(some[1], pa.binary()), pa.array(some[2], pa.binary())], names=["bucket", "chunk", "keys", "counts"])
 
     return run
 
@@ -148,82 +163,122 @@ def _total(words: int):
         chunk, answers = table["chunk"].to_pylist(), [_number(x) for x in each]
         if bucket < words:
             chunk, answers = [*chunk, None], [*answers, _number(np.array([int((total > 0).sum())]))]
-        return pa.table({"chunk": pa.array(chunk, pa.int64()), "bucket": pa.array([bucket] * len(chunk), pa.int32()), "totals": pa.array(answers, pa.binary())})
+        return pa.table({"chunk": pa.array(chunk, pa.int64()), "bucket": pa.array([bucket] * len(chunk), pa.int64()), "totals": pa.array(answers, pa.binary())})
 
     return run
 
 
 class Automaton:
-    """The states and arcs that one chunk can reach."""
-
-    def __init__(self, words: np.ndarray, bigrams: np.ndarray, texts: int, tokens: int, distinct: int, strength: float):
-        """words, bigrams: training counts; texts: of training, the count of the state before the first token."""
-        self.seen = words > 0
-        self.root = (words + 1) / (tokens + distinct + 1)
-        reach = np.append(words, texts).astype(float)
-        self.fail = np.log10(strength / (reach + strength))  # 0 at a state that training never left: it is the root
-        self.norm = reach + strength
-        self.arcs, self.strength = bigrams, strength
-
-    def traverse(self, state: np.ndarray, word: np.ndarray, bigram: np.ndarray) -> np.ndarray:
-        """log10 of each step: the state's arc over the word, or its failure arc and the root's."""
-        count = self.arcs[bigram]
-        return np.where(count > 0, np.log10((count + self.strength * self.root[word]) / self.norm[state]), self.fail[state] + np.log10(self.root[word]))
-
-
-def _score(key_bits: int, texts: int, tokens: int, distinct: int, words: int, strength: float):
+    """The states and arcs that one chunk can reach.
+
+    States: 0 is the root, then one a word, the start of a text, one a bigram.  Those that training lacks have no arc that leads to them.
+    """
+
+    def __init__(self, c: _Chunk, counts: list[np.ndarray], texts: int, tokens: int, distinct: int, strengths: tuple[float, float]):
+        """counts: of training, of the chunk's distinct words, bigrams and trigrams; texts: the count of the state before a first token."""
+        one, two, three = counts
+        m2, m3 = strengths
+        self.n = n = len(one)
+        self.root = np.log10((one + 1) / (tokens + distinct + 1))
+        self.home = np.where(one > 0, np.arange(n) + 1, 0)  # where the root's arcs lead
+        self.start = n + 1
+        _, first, bigram = c.bigrams()
+        word, begins = c.word[first], np.zeros(len(c.word), bool)
+        begins[c.begin] = True
+        left = np.append(one, texts)
+        before = np.where(begins[first], n, c.word[first - 1])
+        p2 = (two + m2 * 10.0 ** self.root[word]) / (left[before] + m2)
+        state = np.arange(len(two)) + n + 2
+        _, last, _, _ = c.trigrams()
+        p3 = (three + m3 * p2[bigram[last]]) / (two[bigram[last - 1]] + m3)
+        some, more = two > 0, three > 0
+        keys = np.concatenate([(before[some] + 1) * n + word[some], state[bigram[last - 1]][more] * n + c.word[last][more]])
+        order = np.argsort(keys)
+        self.arcs = np.append(keys[order], -1)
+        self.weight = np.log10(np.concatenate([p2[some], p3[more]])[order])
+        self.to = np.concatenate([state[some], state[bigram[last]][more]])[order]
+        self.fail_to = np.concatenate([np.zeros(n + 2, np.int64), word + 1])
+        self.fail = np.concatenate([[0.0], np.log10(m2 / (left + m2)), np.log10(m3 / (two + m3))])
+
+    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The states after reading a word each, and the log10 of each step."""
+        state, log, after = state.copy(), np.zeros(len(state)), np.empty(len(state), np.int64)
+        left = np.arange(len(state))
+        while len(left):
+            s, w = state[left], word[left]
+            at = np.searchsorted(self.arcs[:-1], s * self.n + w)
+            arc = (self.arcs[at] == s * self.n + w) & (s > 0)
+            done = left[arc]
+            log[done] += self.weight[at[arc]]
+            after[done] = self.to[at[arc]]
+            home = left[s == 0]
+            log[home] += self.root[word[home]]
+            after[home] = self.home[word[home]]
+            left = left[~arc & (s > 0)]
+            log[left] += self.fail[state[left]]
+            state[left] = self.fail_to[state[left]]
+        return after, log
+
+    def traverse(self, word: np.ndarray, begin: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """log10 of each token's step.  Texts are read side by side, long ones in parts of STEPS tokens; a part begins in the state that the two tokens
+        before it lead to, since no state knows more than two."""
+        parts = -(-lengths // STEPS)
+        text = np.repeat(np.arange(len(begin)), parts)
+        nth = np.arange(len(text)) - np.repeat(np.cumsum(parts) - parts, parts)
+        at, size = begin[text] + nth * STEPS, np.minimum(lengths[text] - nth * STEPS, STEPS)
+        order = np.argsort(-size, kind="stable")
+        at, size, nth = at[order], size[order], nth[order]
+        state = np.where(nth == 0, self.start, 0)
+        inner = np.flatnonzero(nth)
+        for k in (2, 1):
+            state[inner], _ = self.step(state[inner], word[at[inner] - k])
+        out = np.zeros(len(word))
+        for t in range(int(size[0]) if len(size) else 0):
+            n = int(np.searchsorted(-size, -t))  # parts with more than t tokens
+            state[:n], out[at[:n] + t] = self.step(state[:n], word[at[:n] + t])
+        return out
+
+
+def _score(bases: list[int], texts: int, tokens: int, distinct: int, strengths: tuple[float, float]):
     def run(chunks: pa.Table, answers: pa.Table) -> pa.Table:
         out = {n: [] for n in ("doc_id", "held_out", "n_tokens", "n_known", "base_score", "score")}
         if chunks.num_rows:
-            c = _Chunk(chunks.to_pylist()[0], key_bits)
+            c = _Chunk(chunks.to_pylist()[0])
             found = sorted(zip(answers["bucket"].to_pylist(), answers["totals"].to_pylist(), strict=True))
-            one, two = (np.concatenate([np.empty(0, np.int64), *(_numbers(t) for b, t in found if (b < words) == first)]) for first in (True, False))
-            if len(one) != len(c.vocabulary) or len(two) != len(c.bigrams):
+            counts = [np.concatenate([np.empty(0, np.int64), *(_numbers(t) for b, t in found if low <= b < high)]) for low, high in zip(bases[:-1], bases[1:], strict=True)]
+            if [len(x) for x in counts] != [len(c.words), len(c.bigrams()[0]), len(c.trigrams()[0])]:
                 raise ValueError("answers don't fit the chunk")
-            a = Automaton(one, two, texts, tokens, distinct, strength)
+            a = Automaton(c, counts, texts, tokens, distinct, strengths)
 
             def by_text(x):
                 return np.add.reduceat(x, c.begin) if len(x) else x
 
             out["doc_id"], out["held_out"], out["n_tokens"] = pa.array(c.ids, mask=~c.valid), c.held, c.lengths
-            out["n_known"] = by_text(a.seen[c.place].astype(np.int64))
-            out["base_score"] = by_text(np.log10(a.root)[c.place])
-            out["score"] = by_text(a.traverse(c.state, c.place, c.bigram))
+            out["n_known"] = by_text((counts[0] > 0)[c.word].astype(np.int64))
+            out["base_score"] = by_text(a.root[c.word])
+            out["score"] = by_text(a.traverse(c.word, c.begin, c.lengths))
         kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
         return pa.table({n: x if isinstance(x, pa.Array) else pa.array(x, k) for (n, x), k in zip(out.items(), kinds, strict=True)})
 
     return run
 
 
-def score_texts(docs: DataFrame, held: Column | None = None, strength: float = STRENGTH, text: str = "text", key: str = "doc_id") -> DataFrame:
+def score_texts(docs: DataFrame, held: Column | None = None, strengths: tuple[float, float] = STRENGTHS, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score. held: a condition over doc_id; rows where it isn't true train."""
+    spark = docs.sparkSession
     rows = pick(docs, doc_id=key, text=text).select(F.col("doc_id").cast("long"), "text", (held_out() if held is None else held).alias("held_out"))
-    kind = "chunk long, ids binary, valid binary, held binary, lengths binary, vocabulary binary, stream binary, tokens long, words long"
+    kind = "chunk long, ids binary, valid binary, held binary, lengths binary, texts binary, tokens long, train_texts long, train_tokens long"
     chunks = staged(rows.mapInArrow(_chunk, kind), "chunks")
-    total, words = chunks.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
-
-    def bits(n: int) -> int:
-        return max(0, (math.ceil(n / BUCKET_KEYS) - 1).bit_length())
-
-    key_bits = min(64, max(1, total).bit_length() + 20)
-    word_bits, pair_bits = bits(words), bits(total)
-    requests = chunks.mapInArrow(_deal(word_bits, pair_bits, key_bits), "bucket int, chunk long, keys binary, counts binary")
-    answers = staged(requests.groupBy("bucket").applyInArrow(_total(1 << word_bits), "chunk long, bucket int, totals binary"), "answers")
-    distinct = sum(int(_numbers(bytes(r["totals"])).sum()) for r in answers.where("chunk IS NULL").toLocalIterator())  # a row a bucket of words
-    facts = chunks.mapInArrow(_facts, "texts long, trained long").agg(F.coalesce(F.sum("texts"), F.lit(0)), F.coalesce(F.sum("trained"), F.lit(0))).first()
-    texts, tokens = int(facts[0]), int(facts[1])
-    scored = chunks.groupBy("chunk").cogroup(answers.where("chunk IS NOT NULL").groupBy("chunk")).applyInArrow(
-        _score(key_bits, texts, tokens, distinct, 1 << word_bits, strength), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-    )
+    total, texts, tokens = chunks.agg(*(F.coalesce(F.sum(n), F.lit(0)).cast("long") for n in ("tokens", "train_texts", "train_tokens"))).first()
+    bits = max(0, (math.ceil(total / BUCKET_KEYS) - 1).bit_length())
+    bases = [k << bits for k in range(4)]  # buckets of words, of bigrams, of trigrams
+    answers = []
+    for orders in ((1, 2), (3,)):
+        requests = chunks.mapInArrow(_deal([(k, bases[k - 1], bits) for k in orders]), "bucket long, chunk long, keys binary, counts binary")
+        answers.append(staged(requests.groupBy("bucket").applyInArrow(_total(bases[1]), "chunk long, bucket long, totals binary"), "answers"))
+        del requests
+        free(spark)
+    distinct = sum(int(_numbers(bytes(r["totals"])).sum()) for r in answers[0].where("chunk IS NULL").toLocalIterator())  # a row a bucket of words
+    told = answers[0].where("chunk IS NOT NULL").unionByName(answers[1])
+    scored = chunks.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(_score(bases, texts, tokens, distinct, strengths), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")
-
-
-def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Training texts and tokens of each chunk."""
-    for batch in batches:
-        out = []
-        for held, lengths in zip(batch.column("held").to_pylist(), batch.column("lengths").to_pylist(), strict=True):
-            n = _numbers(lengths)
-            train = ~np.unpackbits(np.frombuffer(held, np.uint8), count=len(n)).astype(bool)
-            out.append((int(train.sum()), int(n[train].sum())))
-        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], names=["texts", "trained"])

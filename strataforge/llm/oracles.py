@@ -15,14 +15,20 @@ _CRC = """
 LM = f"""
     WITH {_CRC},
     w AS (SELECT doc_id, code % 7 = 2 AS held_out, list_append({_WORDS}, chr(0)) AS t FROM documents JOIN crc USING (doc_id)),
-    k AS (SELECT doc_id, held_out, unnest(t) AS word, unnest(list_prepend('', t[1:len(t) - 1])) AS before FROM w),
+    k AS (SELECT doc_id, held_out, unnest(t) AS word, unnest(list_prepend('', t[1:len(t) - 1])) AS before,
+        unnest(CASE WHEN len(t) = 1 THEN [NULL::VARCHAR] ELSE list_prepend(NULL::VARCHAR, list_prepend('', t[1:len(t) - 2])) END) AS earlier FROM w),
     c AS (SELECT word, count(*) AS c FROM k WHERE NOT held_out GROUP BY 1),
     b AS (SELECT before, word, count(*) AS c FROM k WHERE NOT held_out GROUP BY 1, 2),
+    g AS (SELECT earlier, before, word, count(*) AS c FROM k WHERE NOT held_out AND earlier IS NOT NULL GROUP BY 1, 2, 3),
     n AS (SELECT sum(c)::BIGINT AS n, count(*) AS v, (SELECT count(*) FROM w WHERE NOT held_out) AS texts FROM c),
-    p AS (SELECT k.*, coalesce(c.c, 0) AS c, (coalesce(c.c, 0) + 1) / (n.n + n.v + 1) AS p, coalesce(b.c, 0) AS pair, CASE WHEN k.before = '' THEN n.texts ELSE coalesce(s.c, 0) END AS state, n.n AS train
-        FROM k CROSS JOIN n LEFT JOIN c ON k.word = c.word LEFT JOIN b ON k.before = b.before AND k.word = b.word LEFT JOIN c s ON k.before = s.word)
-    SELECT doc_id, held_out, count(*) AS n_tokens, count(*) FILTER (c > 0) AS n_known, max(train) AS train_tokens, round(sum(log10(p)), 6) AS base_score, round(sum(log10((pair + 30.0 * p) / (state + 30.0))), 6) AS score
-    FROM p GROUP BY doc_id, held_out
+    p AS (SELECT k.*, coalesce(c.c, 0) AS c, (coalesce(c.c, 0) + 1) / (n.n + n.v + 1) AS p, coalesce(b.c, 0) AS pair, CASE WHEN k.before = '' THEN n.texts ELSE coalesce(s.c, 0) END AS state,
+            coalesce(g.c, 0) AS three, coalesce(t.c, 0) AS longer, n.n AS train
+        FROM k CROSS JOIN n LEFT JOIN c ON k.word = c.word LEFT JOIN b ON k.before = b.before AND k.word = b.word LEFT JOIN c s ON k.before = s.word
+            LEFT JOIN g ON k.earlier = g.earlier AND k.before = g.before AND k.word = g.word LEFT JOIN b t ON k.earlier = t.before AND k.before = t.word),
+    q AS (SELECT *, (pair + 300.0 * p) / (state + 300.0) AS p2 FROM p)
+    SELECT doc_id, held_out, count(*) AS n_tokens, count(*) FILTER (c > 0) AS n_known, max(train) AS train_tokens, round(sum(log10(p)), 6) AS base_score,
+        round(sum(log10(CASE WHEN earlier IS NULL THEN p2 ELSE (three + 30.0 * p2) / (longer + 30.0) END)), 6) AS score
+    FROM q GROUP BY doc_id, held_out
 """
 
 

@@ -95,25 +95,70 @@ def test_encode_then_decode(spark):
     assert [r["decoded"] for r in got] == ["some text é", ""]
 
 
+class PlainModel:
+    """Trigrams with hierarchical Dirichlet smoothing, from the definition."""
+
+    def __init__(self, texts, strengths):
+        self.one, self.two, self.three, self.m, self.texts = collections.Counter(), collections.Counter(), collections.Counter(), strengths, len(texts)
+        for ws in texts:
+            self.one.update(ws)
+            self.two.update(zip(["<s>", *ws], ws, strict=False))
+            self.three.update(zip(["<s>", *ws], ws, ws[1:], strict=False))
+        self.n = sum(self.one.values())
+
+    def p(self, ws, k):
+        p = (self.one[ws[k]] + 1) / (self.n + len(self.one) + 1)
+        before = ws[k - 1] if k else "<s>"
+        p = (self.two[before, ws[k]] + self.m[0] * p) / ((self.one[before] if k else self.texts) + self.m[0])
+        if k:
+            earlier = ws[k - 2] if k > 1 else "<s>"
+            p = (self.three[earlier, before, ws[k]] + self.m[1] * p) / (self.two[earlier, before] + self.m[1])
+        return p
+
+    def score(self, ws):
+        return sum(math.log10(self.p(ws, k)) for k in range(len(ws)))
+
+
 def test_lm_base_and_sums(spark, rows):
     got = {r["doc_id"]: r for r in queries.op2_lm_scoring(spark, SF).collect()}
     tokens = {r["doc_id"]: [*WORDS.findall(fold(r["text"])), None] for r in rows}
     held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in tokens}
-    c = collections.Counter(w for i, ws in tokens.items() if not held[i] for w in ws)
-    pairs = collections.Counter(p for i, ws in tokens.items() if not held[i] for p in zip(["<s>", *ws], ws, strict=False))
-    n, v, texts = sum(c.values()), len(c), sum(not h for h in held.values())
-    m = lm_scoring.STRENGTH
-    p = lambda w: (c[w] + 1) / (n + v + 1)
+    m = PlainModel([ws for i, ws in tokens.items() if not held[i]], lm_scoring.STRENGTHS)
+    p = lambda w: (m.one[w] + 1) / (m.n + len(m.one) + 1)
     for i, ws in tokens.items():
         g = got[i]
-        assert (g["held_out"], g["n_tokens"], g["n_known"], g["train_tokens"]) == (held[i], len(ws), sum(w in c for w in ws), n)
+        assert (g["held_out"], g["n_tokens"], g["n_known"], g["train_tokens"]) == (held[i], len(ws), sum(w in m.one for w in ws), m.n)
         assert math.isclose(g["base_score"], sum(math.log10(p(w)) for w in ws), abs_tol=2e-6)
-        score = sum(math.log10((pairs[u, w] + m * p(w)) / ((texts if u == "<s>" else c[u]) + m)) for u, w in zip(["<s>", *ws], ws, strict=False))
-        assert math.isclose(g["score"], score, abs_tol=2e-6)
+        assert math.isclose(g["score"], m.score(ws), abs_tol=2e-6)
     out = [g for g in got.values() if g["held_out"]]
     assert sum(g["score"] for g in out) > sum(g["base_score"] for g in out)  # better than single words on unseen texts
 
 
+@pytest.mark.parametrize("steps", [1, 3, 128])
+def test_automaton_in_parts_and_buckets(spark, monkeypatch, steps):
+    """Texts read in parts, small chunks and many buckets give the same; a state's arcs, failure arcs and the root's all occur."""
+    monkeypatch.setattr(lm_scoring, "STEPS", steps)
+    monkeypatch.setattr(lm_scoring, "CHUNK_BYTES", 300)
+    monkeypatch.setattr(lm_scoring, "BUCKET_KEYS", 50)
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(0, 40))) for _ in range(60)] + ["A b c", "x y z a b", "a", None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in lm_scoring.score_texts(df, F.col("doc_id") % 3 == 0, (2.0, 1.0)).collect()}
+    tokens = [[*WORDS.findall(fold(t)), None] for t in texts]
+    m = PlainModel([ws for k, ws in enumerate(tokens) if k % 3], (2.0, 1.0))
+    assert all(math.isclose(got[k]["score"], m.score(ws), abs_tol=1e-9) for k, ws in enumerate(tokens)) and len(got) == len(tokens)
+
+
+def test_texts_that_occur_twice_score_apart(spark):
+    path = "/root/testdata/sf0.01"
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{path}/documents.parquet").collect()}
+    often = collections.Counter(texts.values())
+    got = [r for r in queries.op2_lm_scoring(spark, path).collect() if r["n_tokens"] > 60 and not r["held_out"]]
+    by = {n: sorted(r["score"] / r["n_tokens"] for r in got if often[texts[r["doc_id"]]] == n) for n in (1, 2)}
+    above = by[1][int(0.9 * len(by[1]))]
+    assert len(by[2]) > 10 and sum(x > above for x in by[2]) > 0.6 * len(by[2])
+
+
 def base_pii(text):
     digits = lambda s: re.sub("[^0-9]", "", s)
     out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
