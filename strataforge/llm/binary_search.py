@@ -1,38 +1,34 @@
 """Operator 10: exact top-k search of binary codes by incremental multi-index hashing.
 
-Codes of 64 bits (the signs of an embedding) are cut into SEGMENTS of 16 bits, each with a table from
-segment value to rows.  A search looks up all values within radius 0, 1, 2, ... of its own segments;
-after radius r in every segment, each code nearer than SEGMENTS * (r + 1) has been seen, so the search
-ends as soon as the k-th verified distance is below that bound: nothing else can come before.
+Codes of 64 bits (the signs of an embedding) are cut into segments, and the index has a row (segment, value, code) for each.  A search
+probes all values within radius 0, 1, 2, ... of its own segments; after radius r in every segment, each code nearer than
+segments * (r + 1) has been seen, so a search ends as soon as k ids are verified below that bound: nothing else can come before.
 
-All rows are indexed, in shards of SHARD_ROWS rows (hash of the id); within a shard equal codes share
-one entry with their k smallest ids, which is all that ties by id can need.  Queries travel in blocks
-of QUERY_ROWS; every block meets every shard, and the shards' best k of each query are merged.
+Index and probes meet in an equi-join on (segment, value), so a task holds some values' part of both and neither the whole index nor all
+queries.  A round probes one radius for the queries that are still open; a pair is verified once, at the first of the segments in
+which it is nearest; the best k codes of a query are kept between rounds.  Equal codes are one entry, and equal
+queries one search, however many rows have them.  There are about 64 / log2(codes) segments, so that a value has about one code.
 
 Distance ties are broken by id; a query row finds itself at distance 0.  Null vectors, vectors of other
 than 64 places and rows with null ids are left out of index and queries; null places count as negative.
-Fewer than k rows give fewer results; repeated ids are rows of their own.  Further columns are ignored.
+Fewer than k rows give fewer results; repeated ids are rows of their own in the index, repeated query rows are one query.  Further columns
+are ignored.
 """
 
 from __future__ import annotations
 
 import math
-from itertools import combinations
 
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .store import pick, staged
+from .store import free, pick, staged
 
-SEGMENTS, WIDTH = 4, 16
-SHARD_ROWS, QUERY_ROWS = 100_000, 512
+BITS = 64
+SALTS = 64
 TOP = 10
 
-_MASKS = [np.array([sum(1 << b for b in c) for c in combinations(range(WIDTH), r)], np.int64) for r in range(WIDTH + 1)]
-
 
 def codes(df: DataFrame, vector: str = "embedding", key: str = "vec_id") -> DataFrame:
     """Rows (id, code): bit b is set where place b of the vector is positive."""
@@ -44,86 +40,63 @@ def codes(df: DataFrame, vector: str = "embedding", key: str = "vec_id") -> Data
     return df.where(F.col("key").isNotNull() & v.isNotNull() & (F.size(v) == 64)).select(F.col("key").cast("long").alias("id"), total.alias("code"))
 
 
-class Index:
-    """Tables of one shard."""
-
-    def __init__(self, ids: np.ndarray, code: np.ndarray, k: int):
-        order = np.lexsort((ids, code))
-        ids, code = ids[order], code[order]
-        first = np.flatnonzero(np.append(True, code[1:] != code[:-1])) if len(code) else np.empty(0, np.int64)
-        self.code = code[first]
-        self.ids = [ids[a : min(b, a + k)] for a, b in zip(first, [*first[1:], len(code)], strict=True)]
-        self.count = np.array([len(x) for x in self.ids], np.int64)
-        self.rows, self.start = [], []
-        for s in range(SEGMENTS):
-            part = self._part(self.code, s)
-            self.rows.append(np.argsort(part, kind="stable"))
-            self.start.append(np.searchsorted(part[self.rows[-1]], np.arange((1 << WIDTH) + 1)))
-
-    @staticmethod
-    def _part(code, s: int):
-        return ((code >> np.uint64(WIDTH * s)) & np.uint64((1 << WIDTH) - 1)).astype(np.int64)
-
-    def search(self, code: np.uint64, k: int) -> list[tuple[int, int]]:
-        """The k nearest as (distance, id) in order."""
-        n = len(self.code)
-        seen = np.zeros(n, bool)
-        within = np.zeros(65, np.int64)  # ids by distance
-        found, distance = [], []
-        parts = [int(self._part(code, s)) for s in range(SEGMENTS)]
-        for radius in range(WIDTH + 1):
-            for s in range(SEGMENTS):
-                value = parts[s] ^ _MASKS[radius]
-                a, b = self.start[s][value], self.start[s][value + 1]
-                some = b > a
-                a, size = a[some], b[some] - a[some]
-                if not len(size):
-                    continue
-                at = np.repeat(a - np.append(0, np.cumsum(size)[:-1]), size) + np.arange(int(size.sum()))
-                rows = self.rows[s][at]
-                rows = rows[~seen[rows]]
-                seen[rows] = True
-                d = np.bitwise_count(self.code[rows] ^ code).astype(np.int64)
-                found.append(rows)
-                distance.append(d)
-                within += np.bincount(d, self.count[rows], minlength=65).astype(np.int64)
-            bound = SEGMENTS * (radius + 1)  # all codes nearer than this have been seen
-            if within[:bound].sum() >= k or seen.all():
-                break
-        rows, d = np.concatenate(found or [np.empty(0, np.int64)]), np.concatenate(distance or [np.empty(0, np.int64)])
-        if not len(d):
-            return []
-        cut = np.searchsorted(np.cumsum(within), min(k, int(within.sum())))
-        near = np.flatnonzero(d <= cut)
-        return sorted((int(d[i]), int(x)) for i in near for x in self.ids[rows[i]])[:k]
-
-
-def _search(k: int):
-    def run(shard: pa.Table, blocks: pa.Table) -> pa.Table:
-        out = ([], [], [])
-        if shard.num_rows and blocks.num_rows:
-            index = Index(shard["id"].to_numpy(), shard["code"].to_numpy().astype(np.int64).view(np.uint64), k)
-            for q, c in zip(blocks["queries"].to_pylist(), blocks["codes"].to_pylist(), strict=True):
-                for query, code in zip(q, np.array(c, np.int64).view(np.uint64), strict=True):
-                    for d, x in index.search(code, k):
-                        for to, v in zip(out, (query, x, d), strict=True):
-                            to.append(v)
-        return pa.table({"query_id": pa.array(out[0], pa.int64()), "id": pa.array(out[1], pa.int64()), "distance": pa.array(out[2], pa.int32())})
-
-    return run
+def segments(n: int) -> int:
+    """How many segments to cut codes into: 2, 4 or 8."""
+    return min((2, 4, 8), key=lambda s: abs(s - BITS / max(1.0, math.log2(max(2, n)))))
+
+
+def _part(code: Column, s: int, width: int) -> Column:
+    return F.shiftrightunsigned(code, s * width).bitwiseAND((1 << width) - 1)
+
+
+def _entries(base: DataFrame, k: int) -> DataFrame:
+    """Rows (code, ids): each code's k smallest ids, which is all that ties by id can need. A code's rows are cut in parts first."""
+    salted = base.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
+    for by in (["code", "salt"], ["code"]):
+        salted = salted.withColumn("nth", F.row_number().over(W.partitionBy(*by).orderBy("id"))).where(F.col("nth") <= k)
+    return salted.groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids"))
+
+
+def _probes(open_: DataFrame, radius: int, count: int, width: int) -> DataFrame:
+    """(asked, seg, value): every value that differs from the query's segment in radius bits."""
+    rows = open_.select("asked", F.lit(0).cast("long").alias("mask"), F.lit(-1).alias("top"))
+    for left in range(radius, 0, -1):
+        rows = rows.select("asked", "mask", F.explode(F.sequence(F.col("top") + 1, F.lit(width - left))).alias("top")).select("asked", (F.col("mask") + F.expr("shiftleft(1L, top)")).alias("mask"), "top")
+    parts = F.array(*[F.struct(F.lit(s).alias("seg"), _part(F.col("asked"), s, width).bitwiseXOR(F.col("mask")).alias("value")) for s in range(count)])
+    return rows.select("asked", F.explode(parts).alias("p")).select("asked", "p.seg", "p.value")
 
 
 def top_k(base: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
     """base and queries: rows (id, code). Rows (query_id, rank, id, distance), ranks from 1."""
+    spark = base.sparkSession
     base = staged(base, "codes")
-    n = base.count()
-    shards = max(1, math.ceil(n / SHARD_ROWS))
-    dealt = base.withColumn("shard", F.pmod(F.xxhash64("id", "code"), F.lit(shards)))
-    asked = queries.distinct()
-    blocks = max(1, math.ceil(queries.count() / QUERY_ROWS))
-    packed = asked.groupBy(F.pmod(F.xxhash64(F.lit(3), "id"), F.lit(blocks)).alias("block")).agg(F.collect_list("id").alias("queries"), F.collect_list("code").alias("codes"))
-    # the stated query set in blocks, each once for every shard
-    sent = packed.select("queries", "codes", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"))
-    found = dealt.groupBy("shard").cogroup(sent.groupBy("shard")).applyInArrow(_search(k), "query_id long, id long, distance int")
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy("distance", "id")).cast("long")
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "id", "distance")
+    entries = staged(_entries(base, k), "entries")
+    n, ids = entries.agg(F.count("*"), F.coalesce(F.sum(F.size("ids")), F.lit(0))).first()
+    k, count = min(k, ids), segments(n)
+    width = BITS // count
+    parts = F.array(*[F.struct(F.lit(s).alias("seg"), _part(F.col("code"), s, width).alias("value")) for s in range(count)])
+    index = entries.select("code", F.col("ids")[0].alias("least"), F.size("ids").alias("held"), F.explode(parts).alias("p")).select("p.seg", "p.value", "code", "least", "held")
+    asked = staged(queries.select(F.col("id").alias("query_id"), F.col("code").alias("asked")).distinct(), "asked")
+    open_ = staged(asked.select("asked").distinct(), "open")
+    best = staged(spark.createDataFrame([], "asked long, code long, least long, held int, distance int"), "best")
+    done, radius, apart = [], 0, F.col("asked").bitwiseXOR(F.col("code"))
+    near = [F.bit_count(_part(apart, s, width)) for s in range(count)]
+    first = F.coalesce(*[F.when(x == F.least(*near), F.lit(s)) for s, x in enumerate(near)])
+    while k and radius <= width and not open_.isEmpty():
+        pairs = _probes(open_, radius, count, width).join(index, ["seg", "value"])
+        found = pairs.where((F.least(*near) == radius) & (first == F.col("seg"))).select("asked", "code", "least", "held", F.bit_count(apart).alias("distance"))
+        nth = F.row_number().over(W.partitionBy("asked").orderBy("distance", "least"))
+        kept = staged(best.unionByName(found).withColumn("nth", nth).where(F.col("nth") <= k).drop("nth"), "best")
+        settled = staged(kept.where(F.col("distance") < count * (radius + 1)).groupBy("asked").agg(F.sum("held").alias("held")).where((F.col("held") >= k) | F.lit(radius == width)).select("asked"), "settled")
+        done.append(staged(kept.join(settled, "asked", "left_semi"), "done"))
+        before, best = [best, open_, kept], staged(kept.join(settled, "asked", "left_anti"), "best")
+        open_ = staged(open_.join(settled, "asked", "left_anti"), "open")
+        free(spark, *before, settled)
+        radius += 1
+    found = best.where("false") if not done else done[0]
+    for more in done[1:]:
+        found = found.unionByName(more)
+    rows = found.join(entries, "code").select("asked", "distance", F.explode("ids").alias("id"))
+    rank = F.row_number().over(W.partitionBy("asked").orderBy("distance", "id")).cast("long")
+    rows = rows.withColumn("rank", rank).where(F.col("rank") <= k)
+    return asked.join(rows, "asked").select("query_id", "rank", "id", "distance")

@@ -6,8 +6,11 @@ collision-free bits, ranked) whose slots hold the full digest and the locator of
 digests probe their shard's slot and are accepted only when all 32 bytes agree; digests that are no
 members form groups of their own.
 
-Nulls in the text count as empty; empty texts are equal to each other; rows with a null doc_id are
-kept as rows but never win over a row that has one; an empty table gives an empty result; repeated
+Of equal texts exactly one row stays: one with the largest doc_id and, where several rows have that one, the last of them by a number that
+tells rows apart (their texts are equal too, so it is no matter which).
+
+Nulls in the text count as empty; empty texts are equal to each other; rows with a null doc_id never win over a row that has one,
+and of such rows alone one stays; an empty table gives an empty result; repeated
 rows (same doc_id and text) each count.  Extra columns are ignored whatever their names.
 """
 
@@ -93,7 +96,7 @@ def _longs(table: pa.Table, name: str) -> np.ndarray:
 
 
 def _build(table: pa.Table) -> pa.Table:
-    digests, winner, n = _digests(table), _longs(table, "winner"), _longs(table, "n")
+    digests, winner, row, n = _digests(table), *(_longs(table, c) for c in ("winner", "row", "n"))
     mph = PerfectHash.build(_keys(digests))
     slot = mph.find(_keys(digests))
     order = np.argsort(slot)
@@ -102,15 +105,17 @@ def _build(table: pa.Table) -> pa.Table:
         "mph": pa.array([mph.dump()], pa.binary()),
         "slots": pa.array([digests[order].tobytes()], pa.binary()),
         "winners": pa.array([winner[order].tobytes()], pa.binary()),
+        "rows": pa.array([row[order].tobytes()], pa.binary()),
         "counts": pa.array([n[order].tobytes()], pa.binary()),
     })
 
 
-def _groups(digests: np.ndarray, keep: np.ndarray, n: np.ndarray) -> pa.Table:
+def _groups(digests: np.ndarray, keep: np.ndarray, row: np.ndarray, n: np.ndarray) -> pa.Table:
     some = np.flatnonzero(n > 1)
     return pa.table({
         "digest": pa.array([digests[i].tobytes() for i in some], pa.binary()),
         "keep_id": pa.array(keep[some], pa.int64(), mask=keep[some] == _NONE),
+        "keep_row": pa.array(row[some], pa.int64()),
         "group_size": pa.array(n[some], pa.int64()),
     })
 
@@ -118,26 +123,29 @@ def _groups(digests: np.ndarray, keep: np.ndarray, n: np.ndarray) -> pa.Table:
 def _probe(new: pa.Table, history: pa.Table) -> pa.Table:
     """Groups of more than one row of a shard."""
     if not history.num_rows:
-        return _groups(_digests(new), _longs(new, "winner"), _longs(new, "n"))
+        return _groups(_digests(new), *(_longs(new, c) for c in ("winner", "row", "n")))
     mph = PerfectHash.load(history["mph"][0].as_py())
     slots = np.frombuffer(history["slots"][0].as_py(), np.uint8).reshape(-1, 32)
-    winner = np.frombuffer(history["winners"][0].as_py(), np.int64).copy()
-    count = np.frombuffer(history["counts"][0].as_py(), np.int64).copy()
+    winner, row, count = (np.frombuffer(history[c][0].as_py(), np.int64).copy() for c in ("winners", "rows", "counts"))
     if not new.num_rows:
-        return _groups(slots, winner, count)
-    digests, own, n = _digests(new), _longs(new, "winner"), _longs(new, "n")
+        return _groups(slots, winner, row, count)
+    digests, own, its, n = _digests(new), *(_longs(new, c) for c in ("winner", "row", "n"))
     slot = mph.find(_keys(digests))
     member = slot >= 0
     member[member] = (slots[slot[member]] == digests[member]).all(axis=1)
     at = slot[member]  # distinct: the probing digests are
-    winner[at] = np.maximum(winner[at], own[member])
+    after = (own[member] > winner[at]) | ((own[member] == winner[at]) & (its[member] > row[at]))
+    winner[at], row[at] = np.where(after, own[member], winner[at]), np.where(after, its[member], row[at])
     count[at] += n[member]
-    return pa.concat_tables([_groups(slots, winner, count), _groups(digests[~member], own[~member], n[~member])])
+    return pa.concat_tables([_groups(slots, winner, row, count), _groups(digests[~member], own[~member], its[~member], n[~member])])
 
 
-def exact_dedup(docs: DataFrame, history_share: float = 0.5, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
-    rows = staged(pick(docs, doc_id=key, text=text).select(F.col("doc_id").cast("long"), F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("digest")), "digests")
+def exact_dedup(docs: DataFrame, history_share: float = 0.5, text: str = "text", key: str = "doc_id", place: str | None = None) -> DataFrame:
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256. place: a column that tells rows apart, given back as place."""
+    more = ["place"] if place else []
+    rows = pick(docs, doc_id=key, text=text, **({"place": place} if place else {}))
+    rows = rows.select(F.col("doc_id").cast("long"), F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("digest"), F.monotonically_increasing_id().alias("row"), *more)
+    rows = staged(rows, "digests")
     total, cut = rows.agg(F.count("*"), F.percentile_approx("doc_id", history_share, 10_000)).first()
     cut = cut if cut is not None else 0
     shards = max(1, math.ceil(total / SHARD_DIGESTS))
@@ -145,18 +153,20 @@ def exact_dedup(docs: DataFrame, history_share: float = 0.5, text: str = "text",
     old = F.coalesce(F.col("doc_id") <= cut, F.lit(True))
 
     def distinct(which):
-        return rows.where(which).groupBy("digest").agg(F.max("doc_id").alias("winner"), F.count("*").alias("n")).withColumn("shard", shard)
+        best = rows.where(which).groupBy("digest").agg(F.max(F.struct("doc_id", "row")).alias("best"), F.count("*").alias("n"))
+        return best.select("digest", F.col("best.doc_id").alias("winner"), F.col("best.row").alias("row"), "n", shard.alias("shard"))
 
-    index = distinct(old).groupBy("shard").applyInArrow(_build, "shard int, mph binary, slots binary, winners binary, counts binary")
-    groups = staged(distinct(~old).groupBy("shard").cogroup(index.groupBy("shard")).applyInArrow(_probe, "digest binary, keep_id long, group_size long"), "groups")
+    index = distinct(old).groupBy("shard").applyInArrow(_build, "shard int, mph binary, slots binary, winners binary, rows binary, counts binary")
+    groups = staged(distinct(~old).groupBy("shard").cogroup(index.groupBy("shard")).applyInArrow(_probe, "digest binary, keep_id long, keep_row long, group_size long"), "groups")
     bound = max(HOT_ROWS, math.ceil(total / MAX_HOT))
-    hot = F.broadcast(groups.where(F.col("group_size") >= bound))  # at most MAX_HOT rows of 48 bytes
+    hot = F.broadcast(groups.where(F.col("group_size") >= bound))  # at most MAX_HOT rows of 56 bytes
     out = rows.join(hot, "digest").unionByName(rows.join(hot.select("digest"), "digest", "left_anti").join(groups.where(F.col("group_size") < bound), "digest", "left"))
     grouped = F.col("group_size").isNotNull()
     return out.select(
         "doc_id",
         F.when(grouped, F.col("keep_id")).otherwise(F.col("doc_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
-        (~grouped | F.coalesce(F.col("keep_id") == F.col("doc_id"), F.lit(False))).alias("kept"),
+        (~grouped | F.coalesce(F.col("row") == F.col("keep_row"), F.lit(False))).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
+        *more,
     )

@@ -370,10 +370,40 @@ def test_prefix_lengths():
     assert ngram_join.prefix(8, np.full(8, 3, np.uint32))[0] >= 1
 
 
-def test_targets():
-    t = mixing.fill_targets({"a": 100, "b": 10, None: 10}, {"a": 5, "b": 2, None: 1})
-    assert t["b"] == 30 and abs(sum(t.values()) - 120) < 1e-9 and t["a"] <= 300
-    assert mixing.order_sources(["é", "a", None, "Z"]) == ["Z", "a", "é", None]
+def fill_targets(sizes, weights, most=3):
+    target, left, open_ = {}, float(sum(sizes.values())), dict(weights)
+    while open_:
+        unit = left / sum(open_.values())
+        full = [s for s, w in open_.items() if w * unit > most * sizes[s]]
+        if not full:
+            return target | {s: w * unit for s, w in open_.items()}
+        for s in full:
+            target[s] = float(most * sizes[s])
+            left -= target[s]
+            del open_[s]
+    return target
+
+
+def order_sources(names):
+    return sorted(n for n in names if n is not None) + [None] * (None in names)
+
+
+@pytest.mark.parametrize("sizes", [{"é": 100, "a": 10, None: 10, "Z": 1}, {"a": 5}, {None: 3, "b": 0}, {f"s{k}": k * k for k in range(40)}])
+def test_targets(spark, monkeypatch, sizes):
+    monkeypatch.setattr(mixing, "PART_ROWS", 3)
+    df = spark.createDataFrame([(k, " ".join(["w"] * n), s) for k, (s, n) in enumerate(sizes.items())], "doc_id long, text string, source string")
+    want = fill_targets(sizes, {s: (5, 2, 1)[k % 3] for k, s in enumerate(order_sources(sizes))})
+    got = {r["source"]: r for r in mixing.mix_sources(df).collect()}
+    assert all(math.isclose(got[s]["target"], t, abs_tol=1e-9) and got[s]["source_size"] == sizes[s] for s, t in want.items())
+
+
+def test_mixing_does_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "PART_ROWS", 7)
+    rng = random.Random(12)
+    rows = [(rng.choice([None, None, 3, 3, 100 + k]), " ".join(rng.choice("abc") for _ in range(rng.randrange(0, 12))), rng.choice(["x", "y", None])) for k in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    one, two = (collections.Counter(tuple(r) for r in mixing.mix_sources(d).collect()) for d in (df.coalesce(1), df.repartition(7)))
+    assert one == two and sum(one.values()) == 120
 
 
 def test_mixing(spark, docs, rows):
@@ -383,8 +413,8 @@ def test_mixing(spark, docs, rows):
     total = collections.Counter()
     for k, n in size.items():
         total[source[k]] += n
-    names = mixing.order_sources(total)
-    target = mixing.fill_targets(total, {s: (5, 2, 1)[k % 3] for k, s in enumerate(names)})
+    names = order_sources(total)
+    target = fill_targets(total, {s: (5, 2, 1)[k % 3] for k, s in enumerate(names)})
     taken = collections.Counter()
     for r in got:
         assert r["size"] == size[r["doc_id"]] and r["source_size"] == total[source[r["doc_id"]]] and math.isclose(r["target"], target[source[r["doc_id"]]])
@@ -412,6 +442,29 @@ def test_mixing(spark, docs, rows):
     assert {k: plain[k] for k in size} == again
 
 
+@pytest.mark.parametrize("hot", [1, 1_000_000])
+def test_exact_dedup_keeps_one_row(spark, monkeypatch, hot):
+    """Repeated rows and null ids too, whether groups count as hot or not."""
+    monkeypatch.setattr(exact_dedup, "HOT_ROWS", hot)
+    monkeypatch.setattr(exact_dedup, "MAX_HOT", 10_000 if hot == 1 else 1)
+    rows = [(5, "a"), (5, "a"), (1, "a"), (None, "a"), (None, "b"), (None, "b"), (2, "c"), (2, "d"), (3, None), (3, ""), (9, "e")]
+    got = exact_dedup.exact_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    kept = collections.Counter(r["text_sha256"] for r in got if r["kept"])
+    assert len(got) == len(rows) and set(kept.values()) == {1} and len(kept) == 6
+    assert {(r["keep_id"], r["group_size"]) for r in got} == {(5, 4), (None, 2), (2, 1), (3, 2), (9, 1)}
+    assert all(r["keep_id"] == r["doc_id"] for r in got if r["kept"])
+
+
+@pytest.mark.parametrize("n", [1, 7, 300])
+def test_binary_search_of_few(spark, n):
+    rng = np.random.default_rng(n)
+    code = rng.integers(0, 1 << 63, n, np.uint64) * np.uint64(2) + rng.integers(0, 2, n, np.uint64)
+    df = spark.createDataFrame([(k, int(c.astype(np.int64)), "x", 1) for k, c in enumerate(code)], "id long, code long, asked string, rank int")
+    got = sorted(tuple(r) for r in binary_search.top_k(df, df.where("id % 100 = 0")).collect())
+    want = [(q, r + 1, i, d) for q in range(0, n, 100) for r, (d, i) in enumerate(sorted((int(x), k) for k, x in enumerate(np.bitwise_count(code ^ code[q])))[:10])]
+    assert got == want
+
+
 def test_binary_search(spark):
     rng = np.random.default_rng(8)
     code = rng.integers(0, 1 << 63, 1500, np.uint64)
@@ -446,5 +499,41 @@ def test_pipeline_stages(spark, docs):
     assert corpus_pipeline.tokenize(spark, docs, sf).count() == docs.count()
 
 
-def test_pipeline_runs(spark):
-    assert corpus_pipeline.run(spark, SF).count() > 100
+def test_pipeline_end_to_end(spark, docs, rows):
+    """The whole pipeline against its stages put together in plain Python; the mix, of documents that tests of op9 hold, by its own operator."""
+    got = collections.Counter((r["doc_id"], r["n_tokens"], r["decoded_sha256"]) for r in corpus_pipeline.run(spark, SF).collect())
+    told = plain_languages(rows, langid.learn(docs))
+    left = [r for r in rows if told[r["doc_id"]][1] >= langid.MARGIN and told[r["doc_id"]][0] != "und"]
+    last = {}
+    for r in left:
+        last[r["text"]] = max(r["doc_id"], last.get(r["text"], -1))
+    left = {r["doc_id"]: r["text"] for r in left if last[r["text"]] == r["doc_id"]}
+    left = {k: left[k] for k in {c for _, c in brute_components(left).values()}}
+    copies = {r["doc_id"]: r["copies"] for r in mixing.mix_sources(docs.where(F.col("doc_id").isin(*left))).collect()}
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(queries.TOKENIZER)
+    want = {(k, len(library.encode(t, add_special_tokens=False).ids), hashlib.sha256(t.encode()).hexdigest()): copies[k] for k, t in left.items() if copies[k]}
+    assert got == collections.Counter(want) and len(want) > 50
+
+
+def plain_languages(rows, dictionaries):
+    """Language and margin by compressing each text's blocks with each dictionary, without the operator."""
+    import zstandard
+
+    out = {}
+    for r in rows:
+        text = re.sub(r"[\W\d_]+", " ", (r["text"] or "").lower()).encode()
+        size = {}
+        for lang, content in dictionaries.items():
+            how = zstandard.ZstdCompressor(level=langid.LEVEL, dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_checksum=False, write_content_size=False, write_dict_id=False)
+            size[lang] = sum(len(how.compress(text[k : k + langid.BLOCK_BYTES])) for k in range(0, len(text), langid.BLOCK_BYTES))
+        best, second = sorted((n, lang) for lang, n in size.items())[:2]
+        out[r["doc_id"]] = (best[1], (second[0] - best[0]) / max(1, second[0])) if any(c.isalpha() for c in r["text"] or "") else ("und", 0.0)
+    return out
+
+
+def test_languages_agree_with_plain_compression(spark, docs, rows):
+    got = {r["doc_id"]: r for r in queries.op4_language_id(spark, SF).collect()}
+    for k, (lang, margin) in plain_languages(rows, langid.learn(docs)).items():
+        assert got[k]["lang_pred"] == lang and math.isclose(got[k]["score"], margin)

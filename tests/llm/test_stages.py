@@ -22,9 +22,27 @@ def texts(rows):
     return collections.Counter((r["doc_id"], r["text"]) for r in rows)
 
 
-def test_near_keeps_rows_without_id(spark):
+def test_near_keeps_rows_without_id_and_one_of_a_group(spark):
     got = corpus_pipeline.near(spark, spark.createDataFrame(ROWS, SCHEMA), "").collect()
-    assert texts(got) == texts([dict(zip(("doc_id", "text"), r[:2], strict=True)) for r in ROWS if r[0] != 5])
+    assert texts(got) == collections.Counter({(1, ROWS[0][1]): 1, (7, ROWS[2][1]): 1, (None, ROWS[4][1]): 1, (None, ROWS[5][1]): 1})
+
+
+def test_exact_keeps_one_row_of_a_text(spark):
+    got = corpus_pipeline.exact(spark, spark.createDataFrame(ROWS, SCHEMA), "").collect()
+    assert texts(got) == collections.Counter({(5, ROWS[0][1]): 1, (7, ROWS[2][1]): 1, (None, ROWS[4][1]): 1})
+
+
+def test_stages_on_odd_rows(spark):
+    rows = [*ROWS, (8, None, None, None, None), (9, "", "en", "a", 0), (10, "word soup and more " * 20_000, "en", "b", 1), (11, "x" * 300_000, None, "b", 3)]
+    docs = spark.createDataFrame([(*r, "?", "?") for r in rows], f"{SCHEMA}, place string, component string")
+    for stage in (corpus_pipeline.exact, corpus_pipeline.near, corpus_pipeline.mix):
+        assert stage(spark, docs, "").columns == docs.columns
+        assert stage(spark, docs.limit(0), "").count() == 0
+    assert collections.Counter(r["doc_id"] for r in corpus_pipeline.exact(spark, docs, "").collect()) == {5: 1, 7: 1, None: 1, 9: 1, 10: 1, 11: 1}
+    assert collections.Counter(r["doc_id"] for r in corpus_pipeline.near(spark, docs, "").collect()) == {1: 1, 7: 1, None: 2, 8: 1, 9: 1, 10: 1, 11: 1}
+    assert corpus_pipeline.language_id(spark, docs, "").count() == 0 + len([r for r in corpus_pipeline.langid.identify(docs).collect() if not r["lang_rejected"]])
+    tokens = {r["doc_id"]: r["n_tokens"] for r in corpus_pipeline.tokenize(spark, docs, "").collect()}
+    assert tokens[8] == tokens[9] == 0 and tokens[10] >= 80_000
 
 
 def test_mix_takes_each_row_as_often_as_told(spark):
