@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .lm_scoring import _number, _numbers
 from .packed import pack, unpack
-from .store import pick, staged
+from .store import free, pick, staged
 from .words import mix, row_groups, text_buffer
 
 ORDER, BITS = 4, 5
@@ -261,7 +261,7 @@ def _trains(key: str = "doc_id"):
 
 
 def rate_quality(docs: DataFrame, trusted_ids: DataFrame, quantile: float = QUANTILE, text: str = "text", lang: str = "lang", key: str = "doc_id") -> DataFrame:
-    """One row per document: doc_id, lang, n_symbols, perplexity, threshold, kept. trusted_ids: one column of ids."""
+    """One row per document: doc_id, lang, n_symbols, perplexity, threshold, own_threshold (its language's, not that of all), kept. trusted_ids: one column of ids."""
     ids = trusted_ids.select(F.col(trusted_ids.columns[0]).cast("long").alias("id")).where("id IS NOT NULL").distinct()
     ids = staged(ids, "trusted")
     rows = pick(docs, doc_id=key, text=text, lang=lang).withColumns({"doc_id": F.col("doc_id").cast("long"), "lang": F.col("lang").cast("string")})
@@ -271,17 +271,20 @@ def rate_quality(docs: DataFrame, trusted_ids: DataFrame, quantile: float = QUAN
     shares = staged(kneser_ney(grams, wide=True), "shares")
     size = shares.where(F.col("order") == 1).count() + 1
     model = staged(shares.mapInArrow(_keyed, "key long, share double, gamma double").groupBy("key").agg(F.max("share").alias("share"), F.max("gamma").alias("gamma")), "model")
+    free(shares)
     chunks = staged(rows.mapInArrow(_chunk, "chunk long, ids binary, valid binary, langs array<string>, lengths binary, texts binary, size long"), "chunks")
     most = max(model.count(), (chunks.agg(F.sum("size")).first()[0] or 0) // 16)  # of distinct n-grams, a symbol in sixteen is many
     bits = max(0, (math.ceil(most / BUCKET_KEYS) - 1).bit_length())
     requests = chunks.mapInArrow(_deal(bits), "bucket int, chunk long, keys binary")
     dealt = model.withColumn("bucket", F.shiftrightunsigned("key", 64 - bits).cast("int") if bits else F.lit(0))
-    answers = requests.groupBy("bucket").cogroup(dealt.groupBy("bucket")).applyInArrow(_answer, "chunk long, bucket int, answers binary")
+    answers = staged(requests.groupBy("bucket").cogroup(dealt.groupBy("bucket")).applyInArrow(_answer, "chunk long, bucket int, answers binary"), "answers")
+    free(model)
     scored = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_score(size), "doc_id long, lang string, n_symbols long, perplexity double")
     rated = staged(scored, "rated")
+    free(chunks, answers)
     others = ids.where(~_trains("id"))
     bound = rated.where("perplexity IS NOT NULL").join(others, rated["doc_id"] == others["id"], "left_semi")
     whole = bound.agg(F.percentile_approx("perplexity", quantile, 10_000)).first()[0]
     by = bound.where("lang IS NOT NULL").groupBy(F.col("lang").alias("of")).agg(F.percentile_approx("perplexity", quantile, 10_000).alias("threshold"), F.count("*").alias("n")).where(F.col("n") >= LEAST_TRUSTED)
-    out = rated.join(by, rated["lang"] == by["of"], "left").withColumn("threshold", F.coalesce("threshold", F.lit(whole).cast("double")))
-    return out.select("doc_id", "lang", "n_symbols", "perplexity", "threshold", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(False)).alias("kept"))
+    out = rated.join(by, rated["lang"] == by["of"], "left").withColumns({"own_threshold": F.col("threshold").isNotNull(), "threshold": F.coalesce("threshold", F.lit(whole).cast("double"))})
+    return out.select("doc_id", "lang", "n_symbols", "perplexity", "threshold", "own_threshold", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(False)).alias("kept"))
