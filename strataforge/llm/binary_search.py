@@ -91,7 +91,7 @@ def top_k(base: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
         done.append(staged(kept.join(settled, "asked", "left_semi"), "done"))
         before, best = [best, open_, kept], staged(kept.join(settled, "asked", "left_anti"), "best")
         open_ = staged(open_.join(settled, "asked", "left_anti"), "open")
-        free(spark, *before, settled)
+        free(*before, settled)
         radius += 1
     found = best.where("false") if not done else done[0]
     for more in done[1:]:

@@ -28,7 +28,6 @@ def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
 
     rounds: more of them are an error; by default there is no limit.
     """
-    spark = links.sparkSession
     edges = staged(links.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).where("x IS NOT NULL AND y IS NOT NULL AND u <> v").distinct(), "edges")
     turn = 0
     while not _settled(edges):
@@ -40,6 +39,6 @@ def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
         before, edges = edges, staged(small.where("u <> v").distinct(), "edges")
-        free(spark, before)
+        free(before)
         turn += 1
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

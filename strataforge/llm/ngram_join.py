@@ -392,8 +392,6 @@ def link_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     counted = packages.groupBy("bucket").applyInArrow(_count(crowds), "crowd long, ids binary, keys binary, dfs binary")
     placed = classes.select("sig", "n").mapInArrow(_placed(crowds), "sig long, n long, crowd long")
     sets = staged(placed.groupBy("crowd").cogroup(counted.groupBy("crowd")).applyInArrow(_gather(percent), "doc long, n long, tokens binary, dfs binary"), "sets")
-    del packages, counted, placed
-    free(spark)
     lists = staged(sets.mapInArrow(_postings(percent), "token long, doc long, n long, at int, matches int, df long"), "postings")
     tested = spark.createDataFrame([], "x long, y long")
     # texts of one doc_id are one document
@@ -405,7 +403,7 @@ def link_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
         placed = lists.join(found, lists["doc"] == found["node"], "left").select("token", "doc", "n", "at", "matches", "df", F.coalesce("component", "doc").alias("component"))
         mixed = placed.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("token")
         placed = staged(placed.join(mixed, "token", "left_semi"), "lists")
-        free(spark, old)
+        free(old)
         old, lists = placed, placed.drop("component")
         pairs = _crossing(placed, sets, percent) if exact else _partners(placed, turn, percent)
         verified = _links(pairs.join(tested, ["x", "y"], "left_anti"), sets, percent)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import gc
 import tempfile
 import uuid
 
@@ -13,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _FOLDERS: set[str] = set()
+#: Drops a query's shuffles as it ends; a table that has been written needs them no more.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -44,7 +45,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
         _FOLDERS.add(folder)
         atexit.register(_leave, spark.sparkContext, folder)
     path = f"{folder}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_at = path
     return out
@@ -57,12 +63,10 @@ def _leave(sc: SparkContext, folder: str) -> None:
         pass
 
 
-def free(spark: SparkSession, *tables: DataFrame) -> None:
-    """Deletes staged tables that no later step reads, and lets Spark drop the shuffles of finished steps now instead of at some later collection."""
+def free(*tables: DataFrame) -> None:
+    """Deletes staged tables that no later step reads."""
     for table in tables:
-        _delete(spark.sparkContext, table._staged_at)
-    gc.collect()
-    spark.sparkContext._jvm.java.lang.System.gc()
+        _delete(table.sparkSession.sparkContext, table._staged_at)
 
 
 def pick(df: DataFrame, **names: str) -> DataFrame:
