@@ -63,6 +63,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES:
         docs = staged(stage(spark, docs, sf_dir), "stage-" + "".join(c if c.isalnum() else "-" for c in name))
-        free(spark, *before)
+        free(*before)
         before = [docs]  # read by the next stage alone
     return docs
