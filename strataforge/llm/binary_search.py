@@ -27,6 +27,7 @@ from .store import free, pick, staged
 
 BITS = 64
 SALTS = 64
+PART_PROBES = 1_000_000
 TOP = 10
 
 
@@ -83,7 +84,10 @@ def top_k(base: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
     near = [F.bit_count(_part(apart, s, width)) for s in range(count)]
     first = F.coalesce(*[F.when(x == F.least(*near), F.lit(s)) for s, x in enumerate(near)])
     while k and radius <= width and not open_.isEmpty():
-        pairs = _probes(open_, radius, count, width).join(index, ["seg", "value"])
+        probes = open_.count() * count * math.comb(width, radius)
+        dealt = open_.repartition(max(1, math.ceil(probes / PART_PROBES)), "asked")
+        # sorted at any size: what a query's explosion comes to can't be told from the table it begins with
+        pairs = _probes(dealt, radius, count, width).join(index.hint("merge"), ["seg", "value"])
         found = pairs.where((F.least(*near) == radius) & (first == F.col("seg"))).select("asked", "code", "least", "held", F.bit_count(apart).alias("distance"))
         nth = F.row_number().over(W.partitionBy("asked").orderBy("distance", "least"))
         kept = staged(best.unionByName(found).withColumn("nth", nth).where(F.col("nth") <= k).drop("nth"), "best")
