@@ -6,7 +6,7 @@ segments * (r + 1) has been seen, so a search ends as soon as k ids are verified
 
 Index and probes meet in an equi-join on (segment, value), so a task holds some values' part of both and neither the whole index nor all
 queries.  A round probes one radius for the queries that are still open; a pair is verified once, at the first of the segments in
-which it is nearest; the best k codes of a query are kept between rounds.  Equal codes are one entry, and equal
+which it is nearest, and is a candidate if it isn't farther than the k-th so far; the best k codes of a query are kept between rounds.  Equal codes are one entry, and equal
 queries one search, however many rows have them.  There are about 64 / log2(codes) segments, so that a value has about one code.
 
 Distance ties are broken by id; a query row finds itself at distance 0.  Null vectors, vectors of other
@@ -59,12 +59,12 @@ def _entries(base: DataFrame, k: int) -> DataFrame:
 
 
 def _probes(open_: DataFrame, radius: int, count: int, width: int) -> DataFrame:
-    """(asked, seg, value): every value that differs from the query's segment in radius bits."""
-    rows = open_.select("asked", F.lit(0).cast("long").alias("mask"), F.lit(-1).alias("top"))
+    """(asked, within, seg, value): every value that differs from the query's segment in radius bits."""
+    rows = open_.select("asked", "within", F.lit(0).cast("long").alias("mask"), F.lit(-1).alias("top"))
     for left in range(radius, 0, -1):
-        rows = rows.select("asked", "mask", F.explode(F.sequence(F.col("top") + 1, F.lit(width - left))).alias("top")).select("asked", (F.col("mask") + F.expr("shiftleft(1L, top)")).alias("mask"), "top")
+        rows = rows.select("asked", "within", "mask", F.explode(F.sequence(F.col("top") + 1, F.lit(width - left))).alias("top")).select("asked", "within", (F.col("mask") + F.expr("shiftleft(1L, top)")).alias("mask"), "top")
     parts = F.array(*[F.struct(F.lit(s).alias("seg"), _part(F.col("asked"), s, width).bitwiseXOR(F.col("mask")).alias("value")) for s in range(count)])
-    return rows.select("asked", F.explode(parts).alias("p")).select("asked", "p.seg", "p.value")
+    return rows.select("asked", "within", F.explode(parts).alias("p")).select("asked", "within", "p.seg", "p.value")
 
 
 def top_k(base: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
@@ -78,7 +78,7 @@ def top_k(base: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
     parts = F.array(*[F.struct(F.lit(s).alias("seg"), _part(F.col("code"), s, width).alias("value")) for s in range(count)])
     index = entries.select("code", F.col("ids")[0].alias("least"), F.size("ids").alias("held"), F.explode(parts).alias("p")).select("p.seg", "p.value", "code", "least", "held")
     asked = staged(queries.select(F.col("id").alias("query_id"), F.col("code").alias("asked")).distinct(), "asked")
-    open_ = staged(asked.select("asked").distinct(), "open")
+    open_ = staged(asked.select("asked", F.lit(BITS).alias("within")).distinct(), "open")
     best = staged(spark.createDataFrame([], "asked long, code long, least long, held int, distance int"), "best")
     done, radius, apart = [], 0, F.col("asked").bitwiseXOR(F.col("code"))
     near = [F.bit_count(_part(apart, s, width)) for s in range(count)]
@@ -88,13 +88,14 @@ def top_k(base: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
         dealt = open_.repartition(max(1, math.ceil(probes / PART_PROBES)), "asked")
         # sorted at any size: what a query's explosion comes to can't be told from the table it begins with
         pairs = _probes(dealt, radius, count, width).join(index.hint("merge"), ["seg", "value"])
-        found = pairs.where((F.least(*near) == radius) & (first == F.col("seg"))).select("asked", "code", "least", "held", F.bit_count(apart).alias("distance"))
+        found = pairs.where((F.least(*near) == radius) & (first == F.col("seg")) & (F.bit_count(apart) <= F.col("within"))).select("asked", "code", "least", "held", F.bit_count(apart).alias("distance"))
         nth = F.row_number().over(W.partitionBy("asked").orderBy("distance", "least"))
         kept = staged(best.unionByName(found).withColumn("nth", nth).where(F.col("nth") <= k).drop("nth"), "best")
         settled = staged(kept.where(F.col("distance") < count * (radius + 1)).groupBy("asked").agg(F.sum("held").alias("held")).where((F.col("held") >= k) | F.lit(radius == width)).select("asked"), "settled")
         done.append(staged(kept.join(settled, "asked", "left_semi"), "done"))
         before, best = [best, open_, kept], staged(kept.join(settled, "asked", "left_anti"), "best")
-        open_ = staged(open_.join(settled, "asked", "left_anti"), "open")
+        limits = best.groupBy("asked").agg(F.when(F.sum("held") >= k, F.max("distance")).otherwise(BITS).alias("within"))
+        open_ = staged(open_.join(settled, "asked", "left_anti").select("asked").join(limits, "asked", "left").select("asked", F.coalesce("within", F.lit(BITS)).alias("within")), "open")
         free(*before, settled)
         radius += 1
     found = best.where("false") if not done else done[0]
