@@ -21,8 +21,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    """docs with a number that tells rows apart, written down so that it stays: ids may be null or occur twice."""
-    return staged(docs.withColumn("_place", F.monotonically_increasing_id()), "numbered")
+    """docs with a number that tells rows apart, as ids may be null or occur twice.
+
+    A stage scans its docs twice, and a row has the same number in both scans because docs are a table read from files: partition and place in it.
+    """
+    return docs.withColumn("_place", F.monotonically_increasing_id())
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
