@@ -1,6 +1,8 @@
 """Lookups of records in dimensions: exact, contained, n-gram, box, radius and polygon, each giving one best entry.
 
-A dimension is broadcast when its size is known to be small; Spark's own threshold decides otherwise.
+Containment is found by equi-joins: a key that a text contains has words or letters that the text has too, so texts and keys meet on these
+and are compared only then, and Spark's size estimates tell whether a side is broadcast.  Dimensions that meet points or keywords by other
+conditions are broadcast while they are small.
 """
 
 from __future__ import annotations
@@ -13,7 +15,8 @@ from ..functions.collections import ngrams
 from ..functions.text import fold_dashes, planar_km, split_words, squeeze
 from .fixed import STOPWORDS
 
-#: Dimensions of at most this many rows are broadcast; larger ones are left to Spark's size estimate.
+
+#: Dimensions of at most this many rows are broadcast where no equality can join them.
 SMALL_DIMENSION = 20_000
 
 
@@ -23,6 +26,35 @@ def small(dim: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(dim) if n <= SMALL_DIMENSION else dim
 
 
+def _runs(items: Column, n: int, between: str) -> Column:
+    """The distinct runs of n consecutive items, joined."""
+    last = F.size(items) - n + 1
+    joined = F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda k: F.array_join(F.slice(items, k, n), between))
+    return F.array_distinct(F.when(last > 0, joined).otherwise(F.array().cast("array<string>")))
+
+
+def contained(texts: DataFrame, text: str, keys: DataFrame, key: str) -> DataFrame:
+    """Each row of texts with each row of keys whose key its text contains, with the columns of both.
+
+    Cut at spaces, the inner words of a key are whole words of any text that contains it, in the same order.  So keys of five words and more
+    meet the texts on their second to fourth word, those of three and four on their second, shorter ones on their first three letters.  An
+    empty key is contained in nothing here.
+    """
+    word, size = F.split(F.col(key), " "), F.size(F.split(F.col(key), " "))
+    words, letters = F.split(F.col(text), " "), F.split(F.col(text), "")
+    kinds = [
+        (size >= 5, F.array_join(F.slice(word, 2, 3), " "), _runs(words, 3, " ")),
+        (size.between(3, 4), word[1], F.array_distinct(words)),
+        *((((size < 3) & (F.length(key) == n if n < 3 else F.length(key) >= 3)), F.substring(key, 1, n), _runs(letters, n, "")) for n in (1, 2, 3)),
+    ]
+    out = None
+    for which, anchor, found in kinds:
+        met = texts.withColumn("_anchor", F.explode(found)).join(keys.where(which).withColumn("_anchor", anchor), "_anchor")
+        met = met.where(F.contains(F.col(text), F.col(key))).drop("_anchor")
+        out = met if out is None else out.unionByName(met)
+    return out
+
+
 def overlay(base: DataFrame, over: DataFrame, key: str = "name") -> DataFrame:
     """Entries of both, those of over winning; an entry keeps the place of its key's first occurrence."""
     both = base.withColumn("_layer", F.lit(0)).unionByName(over.withColumn("_layer", F.lit(1)), allowMissingColumns=True)
@@ -34,17 +66,18 @@ def overlay(base: DataFrame, over: DataFrame, key: str = "name") -> DataFrame:
 def first_contained(df: DataFrame, text: Column, dim: DataFrame, key: str = "name", row_id: str = "_ord") -> DataFrame:
     """(row_id, hit): the first entry, by the dimension's order, whose folded key the text contains."""
     left = df.select(F.col(row_id), text.alias("_text"))
-    right = small(dim.withColumn("_key", fold_dashes(key)).where("_key <> ''"))
-    hits = left.join(right, F.contains("_text", "_key"))
+    hits = contained(left, "_text", dim.withColumn("_key", fold_dashes(key)).where("_key <> ''"), "_key")
     return hits.groupBy(row_id).agg(F.min_by(F.struct(*dim.columns), "ord").alias("hit"))
 
 
 def longest_contained(df: DataFrame, text: Column, dim: DataFrame, key: str = "alias", either: bool = True, row_id: str = "_ord") -> DataFrame:
     """(row_id, hit, exact): an entry whose key is the text, else the longest key contained either way, the first among equals."""
     left = df.select(F.col(row_id), squeeze(text).alias("_text")).where("_text <> ''")
-    right = small(dim.withColumn("_key", squeeze(key)).where("_key <> ''"))
-    near = F.contains("_text", "_key") | (F.contains("_key", "_text") if either else F.lit(False))
-    hits = left.join(right, near).withColumn("_exact", F.col("_text") == F.col("_key"))
+    right = dim.withColumn("_key", squeeze(key)).where("_key <> ''")
+    hits = contained(left, "_text", right, "_key")
+    if either:
+        hits = hits.unionByName(contained(right, "_key", left, "_text"))
+    hits = hits.withColumn("_exact", F.col("_text") == F.col("_key"))
     best = F.struct(F.col("_exact").cast("int").alias("e"), F.length("_key").alias("n"), (-F.col("ord")).alias("o"))
     return hits.groupBy(row_id).agg(F.max_by(F.struct(*dim.columns), best).alias("hit"), F.max("_exact").alias("exact"))
 
@@ -53,16 +86,16 @@ def exact_or_contained(df: DataFrame, text: Column, dim: DataFrame, key: str = "
     """(row_id, hit, exact): by equality, and only for what has none by containment either way, first by order."""
     left = df.select(F.col(row_id), fold_dashes(text).alias("_text")).where("_text <> ''")
     right = dim.withColumn("_key", fold_dashes(key)).where("_key <> ''")
-    right = small(right)
     found = left.join(right, F.col("_text") == F.col("_key")).groupBy(row_id).agg(F.min_by(F.struct(*dim.columns), "ord").alias("hit")).withColumn("exact", F.lit(True))
-    rest = left.join(found.select(row_id), row_id, "left_anti").join(right, F.contains("_text", "_key") | F.contains("_key", "_text"))
+    rest = left.join(found.select(row_id), row_id, "left_anti")
+    rest = contained(rest, "_text", right, "_key").unionByName(contained(right, "_key", rest, "_text"))
     return found.unionByName(rest.groupBy(row_id).agg(F.min_by(F.struct(*dim.columns), "ord").alias("hit")).withColumn("exact", F.lit(False)))
 
 
 def first_of_array(df: DataFrame, items: str, dim: DataFrame, key: str, row_id: str = "_ord") -> DataFrame:
     """(row_id, hit): of the first item of an array that the dimension has."""
     left = df.select(F.col(row_id), F.posexplode(items).alias("_pos", "_item"))
-    return left.join(small(dim), F.col("_item") == F.col(key)).groupBy(row_id).agg(F.min_by(F.struct(*dim.columns), "_pos").alias("hit"))
+    return left.join(dim, F.col("_item") == F.col(key)).groupBy(row_id).agg(F.min_by(F.struct(*dim.columns), "_pos").alias("hit"))
 
 
 def country_fits(claimed: Column, country: Column) -> Column:
@@ -78,9 +111,9 @@ def claimed_countries(c: Column | str) -> Column:
 def named_in(df: DataFrame, text: Column, countries: Column, dim: DataFrame, key: str = "name", row_id: str = "_ord") -> DataFrame:
     """(row_id, hit): the first entry whose name is in the text and whose country fits, if countries are claimed."""
     left = df.select(F.col(row_id), text.alias("_text"), countries.alias("_claimed"))
-    right = small(dim.withColumn("_key", F.lower(key)).where("_key <> ''"))
+    right = dim.withColumn("_key", F.lower(key)).where("_key <> ''")
     fits = (F.size("_claimed") == 0) | country_fits(F.col("_claimed"), F.col("country"))
-    return left.join(right, F.contains("_text", "_key") & fits).groupBy(row_id).agg(F.min_by(F.struct(*dim.columns), "ord").alias("hit"))
+    return contained(left, "_text", right, "_key").where(fits).groupBy(row_id).agg(F.min_by(F.struct(*dim.columns), "ord").alias("hit"))
 
 
 def long_words(text: Column, least: int = 5, stopwords=STOPWORDS) -> Column:
@@ -113,10 +146,10 @@ def match_phrases(df: DataFrame, text: Column, countries: Column, dim: DataFrame
     stop = F.array(*map(F.lit, STOPWORDS))
     left = df.select(F.col(row_id), low.alias("_text"), countries.alias("_claimed"))
     grams = left.select(row_id, "_claimed", F.explode(F.array_distinct(ngrams(long_words(F.col("_text"))))).alias("phrase"))
-    trusted = small(keywords.select(F.lower("keyword").alias("_kw")).distinct())
-    named = left.join(trusted, F.contains("_text", "_kw")).select(row_id, "_claimed", F.col("_kw").alias("phrase"))
+    trusted = keywords.select(F.lower("keyword").alias("_kw")).distinct()
+    named = contained(left, "_text", trusted.where("_kw <> ''"), "_kw").select(row_id, "_claimed", F.col("_kw").alias("phrase"))
     found = grams.unionByName(named).where(~F.array_contains(stop, F.col("phrase"))).distinct()
-    index = small(phrase_index(dim, key))
+    index = phrase_index(dim, key)
     hits = found.join(index, "phrase").join(trusted, F.col("phrase") == F.col("_kw"), "left")
     ok = F.when(F.size("_claimed") > 0, country_fits(F.col("_claimed"), F.col("country"))).otherwise(F.col("_kw").isNotNull())
     score = F.length("phrase") / F.greatest(F.length(key), F.lit(1)) + F.when(F.col("phrase") == F.lower(key), 0.3).otherwise(0.0)
@@ -128,9 +161,10 @@ def match_phrases(df: DataFrame, text: Column, countries: Column, dim: DataFrame
 def match_ratio(df: DataFrame, words: Column, countries: Column, dim: DataFrame, key: str = "name", row_id: str = "_ord", least: float = 0.4) -> DataFrame:
     """(row_id, hit, score): the entry whose name shares the greatest ratio of length with a word, contained either way."""
     left = df.select(F.col(row_id), countries.alias("_claimed"), F.explode(F.array_distinct(words)).alias("_word"))
-    right = small(dim.withColumn("_key", F.lower(key)).where("_key <> ''"))
+    right = dim.withColumn("_key", F.lower(key)).where("_key <> ''")
     fits = (F.size("_claimed") == 0) | (F.coalesce(F.col("country"), F.lit("")) == "") | country_fits(F.col("_claimed"), F.col("country"))
-    hits = left.join(right, (F.contains("_key", "_word") | F.contains("_word", "_key")) & fits).withColumn("score", F.length("_word") / F.length("_key"))
+    left = left.where("_word <> ''")
+    hits = contained(left, "_word", right, "_key").unionByName(contained(right, "_key", left, "_word")).where(fits).withColumn("score", F.length("_word") / F.length("_key"))
     best = hits.groupBy(row_id).agg(F.max_by(F.struct(F.struct(*dim.columns).alias("hit"), "score"), F.struct("score", (-F.col("ord")).alias("o"))).alias("b"))
     return best.select(row_id, "b.hit", "b.score").where(F.col("score") > least)
 

@@ -198,15 +198,8 @@ def validity_range(spark, d):
     return table(spark, d, "events").groupBy("event_type").agg(F.count_if(bad).alias("outside"), F.count_if(F.col("value").between(10, 90)).alias("inside"))
 
 
-@register("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem WHERE l_quantity > 45")
-def prefix_drop_projection(spark, d):
-    rows = table(spark, d, "lineitem").where("l_quantity > 45")
-    return records.drop_prefixed(records.drop_prefixed(rows, "l_ship"), "l_return").drop("l_linestatus")
-
-
 @register("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem")
-def prefix_drop_projection_all(spark, d):
-    """prefix_drop_projection over the whole of lineitem."""
+def prefix_drop_projection(spark, d):
     return records.drop_prefixed(records.drop_prefixed(table(spark, d, "lineitem"), "l_ship"), "l_return").drop("l_linestatus")
 
 
@@ -239,10 +232,10 @@ def tokenise_filter(spark, d):
     g AS (SELECT unnest(list_transform(range(1, len(t) + 1), lambda i: array_to_string(t[i:i], ' '))) AS gram FROM w
           UNION ALL SELECT unnest(list_transform(range(1, len(t)), lambda i: array_to_string(t[i:i + 1], ' '))) FROM w
           UNION ALL SELECT unnest(list_transform(range(1, len(t) - 1), lambda i: array_to_string(t[i:i + 2], ' '))) FROM w)
-    SELECT gram, count(*) AS n FROM g GROUP BY gram HAVING count(*) > 3""")
+    SELECT gram, count(*) AS n FROM g GROUP BY gram""")
 def ngram_index(spark, d):
     grams = table(spark, d, "benchmark").select(F.explode(fc.ngrams(ft.split_words(F.lower("text")))).alias("gram"))
-    return grams.groupBy("gram").agg(F.count("*").alias("n")).where("n > 3")
+    return grams.groupBy("gram").agg(F.count("*").alias("n"))
 
 
 @register("""SELECT doc_id, array_to_string(t[1:3], ', ') AS first, coalesce(t[2], 'none') AS second, t[len(t)] AS last, len(t)::BIGINT AS n,
@@ -315,7 +308,7 @@ def daily_windows(spark, d):
     return table(spark, d, "events").groupBy("event_type", F.window("ts", "1 day").alias("w")).agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total")).select("event_type", F.col("w.start").alias("day"), "n", "total")
 
 
-@register()
+@register("SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS rn FROM events) WHERE rn = 1")
 def events_stream_dedupe(spark, d):
     """The batch twin of the stream that drops repeats: the first event of each user and type."""
     return dedup.first_by_key(table(spark, d, "events"), ["user_id", "event_type"], ["ts", "event_id"])

@@ -32,24 +32,10 @@ def lookup_longest_contains(spark, d):
     return lookup.longest_contained(_texts(spark, d), F.col("text"), _items(spark, d), key="name", either=False).select(F.col("_ord").alias("doc_id"), F.col("hit.ord").alias("item_id"))
 
 
-_PARTS = "(SELECT p_partkey AS ord, lower(p_name) AS k FROM part WHERE p_partkey % 40 = 0 AND p_name <> '')"
-
-
-@register(f"""WITH b AS {_PARTS}, t AS (SELECT p_partkey AS id, lower(p_name) AS x FROM part WHERE p_name <> ''),
-    e AS (SELECT id, min(ord) AS ord FROM t JOIN b ON x = k GROUP BY id), c AS (SELECT id, min(ord) AS ord FROM t JOIN b ON contains(x, k) OR contains(k, x) WHERE id NOT IN (SELECT id FROM e) GROUP BY id)
-    SELECT id, ord, true AS exact FROM e UNION ALL SELECT id, ord, false FROM c""")
-def lookup_exact_or_contains(spark, d):
-    parts = table(spark, d, "part")
-    dim = parts.where("p_partkey % 40 = 0").select(F.col("p_partkey").alias("ord"), F.col("p_name").alias("name"))
-    rows = parts.select(F.col("p_partkey").alias("_ord"), "p_name")
-    return lookup.exact_or_contained(rows, F.col("p_name"), dim).select(F.col("_ord").alias("id"), F.col("hit.ord").alias("ord"), "exact")
-
-
 @register("""WITH t AS (SELECT p_partkey AS id, lower(p_name) AS x FROM part WHERE p_name <> ''), e AS (SELECT t.id, min(b.id) AS ord FROM t JOIN t b ON t.x = b.x GROUP BY t.id),
     r AS (SELECT * FROM t WHERE id NOT IN (SELECT id FROM e)), c AS (SELECT r.id, min(b.id) AS ord FROM r JOIN t b ON contains(r.x, b.x) OR contains(b.x, r.x) GROUP BY r.id)
     SELECT id, ord, true AS exact FROM e UNION ALL SELECT id, ord, false FROM c""")
-def lookup_exact_or_contains_all(spark, d):
-    """lookup_exact_or_contains with all of part as the dimension."""
+def lookup_exact_or_contains(spark, d):
     parts = table(spark, d, "part")
     dim = parts.select(F.col("p_partkey").alias("ord"), F.col("p_name").alias("name"))
     rows = parts.select(F.col("p_partkey").alias("_ord"), "p_name")
@@ -68,20 +54,9 @@ def array_first_lookup(spark, d):
 _BOXES = ((0, "low", 1, 10, 900, 20000), (1, "middle", 8, 30, 10000, 50000), (2, "high", 25, 50, 40000, 110000))
 
 
-@register(f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, string_agg(b.name, ',' ORDER BY b.ord) AS boxes
-    FROM lineitem JOIN (VALUES {', '.join(map(str, _BOXES))}) b(ord, name, q0, q1, p0, p1) ON l_quantity BETWEEN q0 AND q1 AND l_extendedprice BETWEEN p0 AND p1
-    WHERE l_discount > 0.08 GROUP BY ALL""")
-def range_join_box(spark, d):
-    boxes = spark.createDataFrame([(o, n, *map(float, b)) for o, n, *b in _BOXES], "ord int, country string, lat_lo double, lat_hi double, lon_lo double, lon_hi double")
-    rows = table(spark, d, "lineitem").where("l_discount > 0.08").withColumn("_ord", F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
-    out = lookup.boxes_around(rows, F.col("l_quantity"), F.col("l_extendedprice"), boxes)
-    return out.select("_ord.*", F.array_join("countries", ",").alias("boxes"))
-
-
 @register(f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, string_agg(b.name, ',' ORDER BY b.ord) AS boxes
     FROM lineitem JOIN (VALUES {', '.join(map(str, _BOXES))}) b(ord, name, q0, q1, p0, p1) ON l_quantity BETWEEN q0 AND q1 AND l_extendedprice BETWEEN p0 AND p1 GROUP BY ALL""")
-def range_join_box_all(spark, d):
-    """range_join_box over the whole of lineitem."""
+def range_join_box(spark, d):
     boxes = spark.createDataFrame([(o, n, *map(float, b)) for o, n, *b in _BOXES], "ord int, country string, lat_lo double, lat_hi double, lon_lo double, lon_hi double")
     rows = table(spark, d, "lineitem").withColumn("_ord", F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
     out = lookup.boxes_around(rows, F.col("l_quantity"), F.col("l_extendedprice"), boxes)
@@ -267,7 +242,7 @@ def review_merge(spark, d):
     return out.select("doc_id", F.array_join("_gate_flags", "|").alias("flags"), F.coalesce("_provenance.deposit_type_verified", F.lit(False)).alias("verified"))
 
 
-@register("""SELECT c_custkey, round(c_nationkey * 5 - 40.0, 2) AS lat, CASE WHEN NOT lat BETWEEN -90 AND 90 THEN 1 ELSE 0 END + CASE WHEN lat BETWEEN 18 AND 54 AND lon BETWEEN 73 AND 135 OR NOT known THEN 0 WHEN inside THEN 1 ELSE 0 END AS n_errors
+@register("""SELECT c_custkey, round(c_nationkey * 5 - 40.0, 2)::DOUBLE AS lat, CASE WHEN NOT lat BETWEEN -90 AND 90 THEN 1 ELSE 0 END + CASE WHEN lat BETWEEN 18 AND 54 AND lon BETWEEN 73 AND 135 OR NOT known THEN 0 WHEN inside THEN 1 ELSE 0 END AS n_errors
     FROM (SELECT *, EXISTS (SELECT 1 FROM (VALUES (-44,-10,113,154),(18,54,73,135),(25,49,-125,-66),(42,83,-141,-52),(-34,5,-74,-35),(41,82,19,180),(-35,-22,16,33),(-18,0,-81,-68),(-56,-17,-76,-66),(49,55,14,24),(25,40,44,64),(36,42,26,45),(14,33,-118,-86),(-55,-22,-73,-53),(41,55,47,87),(42,52,88,120),(8,35,68,97),(22,32,25,37),(16,32,34,56),(60,70,20,32),(55,69,11,24),(58,71,4,31),(60,84,-73,-12),(-3,-1,29,31),(-13,5,12,31)) b(a0,a1,o0,o1) WHERE lat BETWEEN a0 AND a1 AND lon BETWEEN o0 AND o1) AS inside
         FROM (SELECT c_custkey, c_nationkey, c_nationkey * 5 - 40.0 AS lat, (c_custkey % 36) * 10 - 175.0 AS lon, true AS known FROM customer))""")
 def validate_boxes(spark, d):
