@@ -27,10 +27,12 @@ def small(dim: DataFrame, rows: int | None = None) -> DataFrame:
 
 
 def _runs(items: Column, n: int, between: str) -> Column:
-    """The distinct runs of n consecutive items, joined."""
-    last = F.size(items) - n + 1
-    joined = F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda k: F.array_join(F.slice(items, k, n), between))
-    return F.array_distinct(F.when(last > 0, joined).otherwise(F.array().cast("array<string>")))
+    """The distinct runs of n consecutive items, joined: the items put beside those that come 1, 2, ... places later, so that items is made n times, not once a run."""
+    left = F.greatest(F.size(items) - (n - 1), F.lit(0))
+    out = F.slice(items, F.lit(1), left)
+    for k in range(2, n + 1):
+        out = F.zip_with(out, F.slice(items, F.lit(k), left), lambda x, y: F.concat(x, F.lit(between), y))
+    return F.array_distinct(out)
 
 
 def contained(texts: DataFrame, text: str, keys: DataFrame, key: str) -> DataFrame:
