@@ -25,7 +25,7 @@ def process(spark: SparkSession, source: str, out: str) -> int:
     sinks.write_report(dedup.dedup_stats(marked), f"{out}/dedup_report")
     routed.select("bucket", F.col("raw").alias("value")).write.mode("overwrite").partitionBy("bucket").text(f"{out}/records")
     sinks.write_report(route.triage_stats(routed), f"{out}/triage_stats")
-    report = route.reconcile(rows, routed, dedup.removed_rows(marked), listed=1000)
+    report = route.reconcile(rows, routed, dedup.removed_rows(marked))
     sinks.write_report(report, f"{out}/reconcile_report")
     return 0 if spark.read.json(f"{out}/reconcile_report").first()["reconciled"] else 1
 

@@ -106,3 +106,20 @@ def coordinate_slices(df: DataFrame) -> DataFrame:
     """df with the slice its coordinates fall into by confidence: precise, usable, coarse or none."""
     c = F.col("coordinates.confidence")
     return df.withColumn("coordinate_slice", F.when(F.col("coordinates").isNull() | c.isNull(), "none").when(c >= 0.9, "precise").when(c >= 0.7, "usable").otherwise("coarse"))
+
+
+def head_of_class(df: DataFrame, value: str, n: int, field: str = "deposit_class", order: str = "_ord") -> DataFrame:
+    """The first n records of a class, by order."""
+    return df.where(F.col(field) == value).orderBy(order).limit(n)
+
+
+def only_ids(df: DataFrame, ids: DataFrame, id_col: str = "paper_id") -> DataFrame:
+    """The records whose id is among those asked for; ids without a record give nothing."""
+    return df.join(ids.select(id_col).distinct(), id_col, "left_semi").select(*df.columns)
+
+
+def pick_entries(dim: DataFrame, kind: str | None = None, country: str | None = None) -> DataFrame:
+    """Entries of a type and of a country whose name holds the one given, case aside; what isn't given doesn't count."""
+    if kind is not None:
+        dim = dim.where(F.upper("type") == kind.upper())
+    return dim if country is None else dim.where(F.contains(F.lower("country"), F.lit(country.lower())))
