@@ -7,8 +7,11 @@ Expectation-maximisation over the counts of vote patterns estimates how reliable
 how likely each pattern marks personal data; these posteriors train a logistic span classifier on
 hashed features, which decides over every candidate.  Base matches always stay.
 
+A candidate's expression finds it; the labeler's own one is stricter and says whether the span is written as such data usually is.  The
+gazetteers of given names and of generic domain endings are parameters; a two-letter ending is a country's.
+
 Training: vote patterns are counted over all candidates (there are at most kinds * 3**labelers of
-them); the classifier is fitted on at most SAMPLE_SPANS candidates drawn by hash (a documented bound).
+them); the classifier is fitted on about SAMPLE_SPANS candidates drawn by hash (a documented bound).
 
 Null and empty texts have no spans; texts are scanned whole by expressions that take linear time;
 repeated rows and equal doc_ids each give their row; ties sort by kind as listed; an empty table gives
@@ -17,6 +20,7 @@ an empty result and an untrained classifier, which adds nothing; further columns
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -47,9 +51,31 @@ _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?
 _PERSON = re.compile(r"(?<![A-Za-z])(?:Mr|Mrs|Ms|Dr|Prof)\.? [A-Z][a-z]{1,20}(?: [A-Z][a-z]{1,20})?(?![a-z])")
 _WORD = re.compile(r"[^\W\d_]+")
 
+#: How such data is usually written: the labeler `regex` holds a span against its kind's.
+USUAL = {
+    "email": r"[A-Za-z0-9](?:[._%+-]?[A-Za-z0-9])*@(?:[A-Za-z0-9](?:-?[A-Za-z0-9])*\.)+[A-Za-z]{2,24}",
+    "hidden_email": r"[A-Za-z0-9](?:[._%+-]?[A-Za-z0-9])* ?[(\[](?:at|AT)[)\]] ?[A-Za-z0-9-]+(?: ?[(\[](?:dot|DOT)[)\]] ?[A-Za-z0-9-]+|\.[A-Za-z0-9-]+)*(?: ?[(\[](?:dot|DOT)[)\]] ?|\.)[A-Za-z]{2,24}",
+    "ip": r"(?:0|[1-9][0-9]{0,2})(?:\.(?:0|[1-9][0-9]{0,2})){3}",
+    "card": r"[0-9]{16,19}|[0-9]{4}(?:([ -])[0-9]{4})(?:\1[0-9]{4}){2}(?:\1[0-9]{1,3})?",
+    "phone": r"\+[1-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{1,4}\)?){2,5}",
+    "local_phone": r"\([2-9][0-9]{2}\) [0-9]{3}[.-][0-9]{4}|[2-9][0-9]{2}([ .-])[0-9]{3}\1[0-9]{4}",
+    "ssn": r"(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}",
+    "iban": r"[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)",
+    "person": r"(?:Mr|Mrs|Ms|Dr|Prof)\.? [A-Z][a-z]+ [A-Z][a-z]+",
+}
+USUAL = {k: re.compile(v) for k, v in USUAL.items()}
+
 #: Gazetteers and context words of the labelers.
-DOMAIN_ENDS = frozenset("com org net edu gov mil info io co de fr es uk eu us ca au ch at it nl".split())
-GIVEN_NAMES = frozenset("james mary john anna robert linda michael maria david susan peter laura thomas sarah paul julia hans pierre jean carlos jose luis marie sophie".split())
+DOMAIN_ENDS = frozenset("com org net edu gov mil int info biz name pro museum coop aero jobs mobi travel tel cat asia post app dev page blog shop online site store tech cloud email news wiki xyz".split())
+GIVEN_NAMES = frozenset(
+    """aaron adam ahmed aisha alan alberto alejandro alex alice amina amy ana andrea andrew angela anna anne antonio barbara ben bernd brian carla carlos carmen
+    charles chen chloe christine claire claudia daniel david deborah diego dmitri donald dorothy edward elena elizabeth emily emma eric fatima felix fernando
+    francesca frank gabriel george giulia giovanni grace hans hassan heidi helen helga henry hiroshi ibrahim igor ingrid irina isabel ivan jack jacques james
+    jan jane javier jean jennifer jessica joan john jorge jose joseph juan julia julie juan karen karl katarina kenji kevin klaus laura li linda lisa louis
+    lucia luis maja marco margaret maria marie mario mark martin mary matthew mei michael miguel mohammed monika nadia nancy natalia nicolas nina noah olga
+    oliver olivia omar pablo patricia patrick paul pedro peter petra philippe pierre priya rachel raj ramon richard robert rosa ruth samuel sandra sara sarah
+    sergei sofia sophie stefan steven susan sven takashi teresa thomas ursula victor wei william yuki yusuf""".split()
+)
 CONTEXT = {
     "email": "mail email contact write address reach",
     "hidden_email": "mail email contact write address reach",
@@ -123,7 +149,7 @@ def _iban(text: str) -> bool:
     return int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
 
 
-def votes(kind: str, text: str, start: int, end: int) -> str:
+def votes(kind: str, text: str, start: int, end: int, names: frozenset = GIVEN_NAMES, ends: frozenset = DOMAIN_ENDS) -> str:
     """A letter for each labeler: y, n or - for no opinion."""
     span, before, after = text[start:end], text[max(0, start - AROUND) : start], text[end : end + AROUND]
     digits = _digits(span)
@@ -140,15 +166,15 @@ def votes(kind: str, text: str, start: int, end: int) -> str:
     }[kind]()
     words = [w.lower() for w in _WORD.findall(span)]
     if kind in ("email", "hidden_email"):
-        gazetteer = "y" if words and words[-1] in DOMAIN_ENDS else "n"
+        gazetteer = "y" if words and (words[-1] in ends or len(words[-1]) == 2) else "n"
     elif kind == "person":
-        gazetteer = "y" if GIVEN_NAMES & set(words) else "-"
+        gazetteer = "y" if names & set(words) else "-"
     else:
         gazetteer = "-"
     near = {w.lower() for w in _WORD.findall(before)[-5:]} | {w.lower() for w in _WORD.findall(after)[:3]}
     outer = before[-1:] + after[:1]
     return "".join((
-        "y" if kind in BASE or kind in ("hidden_email", "iban") else "-",
+        "y" if USUAL[kind].fullmatch(span) else "n",
         "y" if structure else "n",
         gazetteer,
         "y" if near & CONTEXT[kind] else "-",
@@ -173,20 +199,23 @@ def features(kind: str, vote: str, text: str, start: int, end: int) -> list[int]
     return sorted(set(out))
 
 
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in row_groups(batches, "text", 8 << 20):
-        items = []
-        for text in batch.column("text").to_pylist():
-            own: list[str] = []
-            if text:
-                base = base_spans(text)
-                taken = [(a, b) for _, a, b in base]
-                loose = [s for s in loose_spans(text) if not any(s[1] < b and a < s[2] for a, b in taken)]
-                for kind, a, b in base + loose:
-                    v = votes(kind, text, a, b)
-                    own.append(f"{kind}|{a}|{b}|{v}|{' '.join(map(str, features(kind, v, text, a, b)))}")
-            items.append(own)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(items, pa.list_(pa.string()))], names=["doc_id", "items"])
+def _scan(names: frozenset, ends: frozenset):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in row_groups(batches, "text", 8 << 20):
+            items = []
+            for text in batch.column("text").to_pylist():
+                own: list[str] = []
+                if text:
+                    base = base_spans(text)
+                    taken = [(a, b) for _, a, b in base]
+                    loose = [s for s in loose_spans(text) if not any(s[1] < b and a < s[2] for a, b in taken)]
+                    for kind, a, b in base + loose:
+                        v = votes(kind, text, a, b, names, ends)
+                        own.append(f"{kind}|{a}|{b}|{v}|{' '.join(map(str, features(kind, v, text, a, b)))}")
+                items.append(own)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(items, pa.list_(pa.string()))], names=["doc_id", "items"])
+
+    return run
 
 
 def estimate(counts: dict[tuple[str, str], int], rounds: int = 50) -> tuple[dict, np.ndarray]:
@@ -254,17 +283,19 @@ def _decide(weights):
     return run
 
 
-def find_pii(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row per document: doc_id and found, an array of (kind, start, end, probability, base)."""
+def find_pii(docs: DataFrame, text: str = "text", key: str = "doc_id", names: frozenset = GIVEN_NAMES, ends: frozenset = DOMAIN_ENDS) -> DataFrame:
+    """One row per document: doc_id and found, an array of (kind, start, end, probability, base). names, ends: gazetteers of lower-case given names and domain endings."""
     spark = docs.sparkSession
     rows = pick(docs, doc_id=key, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
-    scanned = staged(rows.mapInArrow(_scan, "doc_id long, items array<string>"), "candidates")
-    items = scanned.where(F.size("items") > 0).select(F.explode("items").alias("item")).withColumn("part", F.split("item", r"\|"))
+    scanned = staged(rows.mapInArrow(_scan(frozenset(names), frozenset(ends)), "doc_id long, items array<string>"), "candidates")
+    items = scanned.where(F.size("items") > 0).select("doc_id", F.explode("items").alias("item")).withColumn("part", F.split("item", r"\|"))
     patterns = items.groupBy(F.col("part")[0].alias("kind"), F.col("part")[3].alias("votes")).agg(F.count("*").alias("n"))
     counts = {(r["kind"], r["votes"]): r["n"] for r in patterns.collect()}  # a row for each pattern of votes
     posterior, _ = estimate(counts)
-    sample = items.select("item").orderBy(F.xxhash64("item"), "item").limit(SAMPLE_SPANS).collect()
-    parts = [r["item"].split("|") for r in sample]
+    # a threshold on the hash leaves about SAMPLE_SPANS of them, however many there are
+    share = math.ceil((1 << 31) * min(1.0, SAMPLE_SPANS / max(1, sum(counts.values()))))
+    sample = items.where(F.pmod(F.xxhash64(F.lit(11), "doc_id", "item"), F.lit(1 << 31)) < share).select("item").collect()
+    parts = [r.split("|") for r in sorted(r["item"] for r in sample)]
     weights = fit([[int(x) for x in p[4].split()] for p in parts], np.array([posterior[p[0], p[3]] for p in parts]))
     return scanned.mapInArrow(_decide(spark.sparkContext.broadcast(weights)), "doc_id long, found array<struct<kind:string,start:bigint,end:bigint,probability:double,base:boolean>>")
 

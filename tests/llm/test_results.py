@@ -185,6 +185,36 @@ def test_pii_adds_and_leaves(spark):
     assert got[0].startswith("hidden_email:9:") and got[1] == "local_phone:11:25" and got[2] == "" and got[3].startswith("person") and got[4] == "email:5:20"
 
 
+def test_pii_recall_of_added_spans(spark):
+    """Planted spans that the base patterns don't find, in prose, and look-alikes that are no personal data."""
+    rng = random.Random(21)
+    said = [
+        ("hidden_email", lambda: (f"mail {rng.choice(['jo', 'k.lee', 'ann_b'])} (at) {rng.choice(['example', 'uni-x'])} (dot) {rng.choice(['com', 'de', 'org'])}", 5)),
+        ("local_phone", lambda: (f"call {rng.randrange(200, 999)}-{rng.randrange(200, 999)}-{rng.randrange(1000, 9999)}", 5)),
+        ("ssn", lambda: (f"social security {rng.randrange(100, 600)}-{rng.randrange(10, 99)}-{rng.randrange(1000, 9999)}", 16)),
+        ("person", lambda: (f"patient Dr. {rng.choice(['Maria', 'Thomas', 'Yuki'])} {rng.choice(['Lopez', 'Stone', 'Weber'])}", 8)),
+    ]
+    rows, planted = [], {}
+    for k in range(600):
+        head = " ".join(rng.choice("red house of many doors stood near a hill".split()) for _ in range(rng.randrange(3, 20)))
+        if k % 2:
+            kind, make = said[k // 2 % 4]
+            body, at = make()
+            planted[k] = (kind, len(head) + 1 + at)
+            rows.append((k, f"{head} {body} and more"))
+        else:
+            rows.append((k, f"{head} part order 12 of {rng.randrange(10)} and more"))
+    got = {r["doc_id"]: r["spans"] for r in pii.report(pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    caught = sum(f"{kind}:{at}:" in got[k] for k, (kind, at) in planted.items())
+    assert caught >= 0.9 * len(planted) and not any(got[k] for k in got if k not in planted)
+
+
+def test_usual_forms_vote():
+    text = "x 010.001.2.3 y 10.1.2.3"
+    assert pii.votes("ip", text, 2, 13)[0] == "n" and pii.votes("ip", text, 16, 24)[0] == "y"
+    assert pii.votes("person", "Dr. Zork Blip", 0, 13, frozenset({"zork"}))[2] == "y" and pii.votes("person", "Dr. Zork Blip", 0, 13)[2] == "-"
+
+
 def test_votes_are_weighed():
     good, bad = ("ssn", "-y-y-y"), ("ssn", "-n--nn")
     posterior, rates = pii.estimate({good: 90, bad: 10})
