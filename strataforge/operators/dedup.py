@@ -24,7 +24,7 @@ def raw_content_hash(raw: Column | str, leave_out=("paper_id",)) -> Column:
 def mark_duplicates(df: DataFrame, by: Column, id_col: str = "paper_id", order: str = "_ord") -> DataFrame:
     """df with _hash, _copies and _keep: of each hash the row kept is the first whose id has no copy suffix, else the first.
 
-    The keeper is aggregated before the shuffle and joined back, so a content that a third of the rows share is never one task's.
+    The keeper is aggregated before the shuffle and joined back; where many rows share a content, Spark's skew handling splits their side of the join.
     """
     hashed = df.withColumn("_hash", F.coalesce(by, F.lit("")))
     rank = F.struct(F.col(id_col).rlike(COPY_SUFFIX).cast("int").alias("suffixed"), F.col(order).alias("ord"))

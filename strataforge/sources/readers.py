@@ -83,6 +83,33 @@ def read_dimension(spark: SparkSession, path: str, schema: str, key: str = "name
     return one.select("ord", key, *[F.col(f"v.{c}").alias(c) for c in rest])
 
 
+def read_polygons(spark: SparkSession, path: str, name: str = "name", aliases: dict[str, str] | None = None) -> DataFrame:
+    """(ord, country, ring) of a GeoJSON file's polygons, one row an outer ring; aliases: other names by the file's own.
+
+    A feature's place in the file is its ord, so the parts of a country share one. Features without a name or a polygon give none.
+    """
+    kind = "features array<struct<properties:map<string,string>,geometry:struct<type:string,coordinates:string>>>"
+    rows = spark.read.text(path, wholetext=True).select(F.posexplode(F.from_json("value", kind)["features"]).alias("ord", "f"))
+    rings = "array<array<array<double>>>"
+    one, many = F.array(F.from_json("f.geometry.coordinates", rings)), F.from_json("f.geometry.coordinates", f"array<{rings}>")
+    polygons = F.when(F.col("f.geometry.type") == "Polygon", one).when(F.col("f.geometry.type") == "MultiPolygon", many)
+    rows = rows.select("ord", F.try_element_at(F.col("f.properties"), F.lit(name)).alias("country"), F.explode(polygons).alias("p")).where("country <> '' AND size(p) > 0")
+    ring = F.transform(F.col("p")[0], lambda q: F.struct(q[0].alias("lon"), q[1].alias("lat")))
+    if aliases:
+        known = F.create_map(*[F.lit(x) for pair in aliases.items() for x in pair])
+        rows = rows.withColumn("country", F.coalesce(F.try_element_at(known, F.col("country")), "country"))
+    return rows.select("ord", "country", ring.alias("ring"))
+
+
+def read_named(spark: SparkSession, path: str, fields: str, key: str = "name") -> DataFrame:
+    """A dimension from one JSON object of objects by name, as (ord, key, and the fields): ord is the name's place in the file.
+
+    Written as JSON lines it is what read_dimension and the large place tables read.
+    """
+    whole = spark.read.text(path, wholetext=True).select(F.from_json("value", f"map<string, struct<{fields}>>").alias("m"))
+    return whole.select(F.posexplode(F.map_entries("m")).alias("ord", "e")).select("ord", F.col("e.key").alias(key), "e.value.*")
+
+
 def not_done(df: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return df.join(done.select(key).distinct(), key, "left_anti")
 

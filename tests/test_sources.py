@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from strataforge.operators import figures
+from strataforge.operators import dimensions, figures, lookup
 from strataforge.sources import models, readers, sinks
 from strataforge.streaming import ingest
 
@@ -154,3 +154,37 @@ def test_windows(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sum(r["n"] for r in spark.sql("SELECT * FROM w").collect()) == 4
+
+
+def test_polygons_of_a_file(spark, tmp_path):
+    square = [[[0, 0], [4, 0], [4, 4], [0, 4], [0, 0]], [[1, 1], [2, 1], [2, 2], [1, 1]]]
+    far = [[[10, 10], [12, 10], [12, 12], [10, 10]]]
+    features = [
+        {"properties": {"name": "Aland"}, "geometry": {"type": "Polygon", "coordinates": square}},
+        {"properties": {"name": "Bland", "pop": 3}, "geometry": {"type": "MultiPolygon", "coordinates": [far, square]}},
+        {"properties": {"name": "Point"}, "geometry": {"type": "Point", "coordinates": [1, 2]}},
+        {"properties": {"name": None}, "geometry": {"type": "Polygon", "coordinates": square}},
+        {"properties": {"name": "Empty"}, "geometry": None},
+    ]
+    (tmp_path / "land.json").write_text(json.dumps({"type": "FeatureCollection", "features": features}))
+    got = readers.read_polygons(spark, str(tmp_path / "land.json"), aliases={"Bland": "Republic of B"})
+    assert sorted((r["ord"], r["country"], len(r["ring"])) for r in got.collect()) == [(0, "Aland", 5), (1, "Republic of B", 4), (1, "Republic of B", 5)]
+    points = spark.createDataFrame([(1, 3.0, 1.0), (2, 10.5, 11.5), (3, 50.0, 50.0)], "_ord long, y double, x double")
+    hits = lookup.containing_polygon(points, F.col("y"), F.col("x"), got)
+    assert {(r["_ord"], r["country"]) for r in hits.collect()} == {(1, "Aland"), (2, "Republic of B")}
+
+
+def test_tables_by_name(spark, tmp_path):
+    (tmp_path / "belts.json").write_text(json.dumps({"Zed belt": {"lat": 1, "lon": 2.5}, "Alpha": {"lat": -3.0, "lon": 4, "more": "x"}}))
+    rows = readers.read_named(spark, str(tmp_path / "belts.json"), "lat: double, lon: double")
+    assert [tuple(r) for r in rows.orderBy("ord").collect()] == [(0, "Zed belt", 1.0, 2.5), (1, "Alpha", -3.0, 4.0)]
+    rows.write.json(str(tmp_path / "lines"))
+    assert {r["name"] for r in dimensions.from_file(spark, str(tmp_path / "lines"), "belts").collect()} == {"Zed belt", "Alpha"}
+
+
+def test_chunks_are_merged_in_order(spark, tmp_path):
+    """Chunks written in any order are read in the order of their names."""
+    for k in (2, 0, 1):
+        (tmp_path / f"part_{k:03d}.json").write_text(json.dumps([{"paper_id": f"p{k}{j}"} for j in range(2)]))
+    rows = readers.read_records(spark, f"{tmp_path}/part_*.json").orderBy("_ord").collect()
+    assert [r["paper_id"] for r in rows] == ["p00", "p01", "p10", "p11", "p20", "p21"]
