@@ -254,9 +254,11 @@ def array_span(spark, d):
     return table(spark, d, "embeddings").select("vec_id", F.round(F.array_min("embedding").cast("double"), 4).alias("low"), F.round(F.array_max("embedding").cast("double"), 4).alias("high"))
 
 
-@register("SELECT event_id, (props ->> '$.k')::BIGINT AS k FROM events WHERE (props ->> '$.k')::BIGINT >= 50")
+@register("SELECT event_id, CASE WHEN event_id % 5 > 0 THEN (props ->> '$.k')::BIGINT END AS k FROM events WHERE event_id % 5 = 0 OR (props ->> '$.k')::BIGINT >= 50")
 def json_extract_filter(spark, d):
-    return table(spark, d, "events").select("event_id", F.from_json("props", "k long")["k"].alias("k")).where("k >= 50")
+    """Objects in the midst of prose, every fifth of them cut off."""
+    said = F.concat(F.lit("Here it is: "), F.when(F.col("event_id") % 5 == 0, F.translate("props", "}", "")).otherwise(F.col("props")), F.lit(" (end)"))
+    return table(spark, d, "events").select("event_id", fc.parse_loose(said, "k long")["k"].alias("k")).where("k >= 50 OR k IS NULL")
 
 
 @register("SELECT event_type, count(*) FILTER ((props ->> '$.k')::DOUBLE > 90) AS above, count(*) FILTER ((props ->> '$.k')::DOUBLE < 5) AS below FROM events GROUP BY event_type")

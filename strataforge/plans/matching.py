@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import dedup, enrich, figures, lookup, qa, review, score, validate
-from ..sources.readers import not_done
+from ..sources.readers import not_done, prefer_enhanced
 from .base import register, table
 
 
@@ -190,10 +190,11 @@ def anti_resume(spark, d):
     return not_done(table(spark, d, "orders").select("o_orderkey"), done, "o_orderkey")
 
 
-@register("SELECT doc_id, coalesce('label-' || quality, source) AS path FROM documents LEFT JOIN labels USING (doc_id)")
+@register("SELECT doc_id, coalesce('label-' || quality, source) AS path, md5(CASE WHEN quality IS NULL THEN text ELSE 'better' END) AS text FROM documents LEFT JOIN labels USING (doc_id)")
 def left_prefer(spark, d):
-    rows = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left")
-    return rows.select("doc_id", F.coalesce(F.concat(F.lit("label-"), F.col("quality").cast("string")), "source").alias("path"))
+    rows = table(spark, d, "documents").select(F.col("doc_id").alias("paper_id"), F.col("source").alias("path"), "text")
+    better = table(spark, d, "labels").select(F.col("doc_id").alias("paper_id"), F.concat(F.lit("label-"), F.col("quality").cast("string")).alias("path"), F.lit("better").alias("text"))
+    return prefer_enhanced(rows, better).select(F.col("paper_id").alias("doc_id"), "path", F.md5("text").alias("text"))
 
 
 _CODES = ("PORPHYRY-CU", "PORPHYRY CU", "SKARN-FE", "VMS", "SMS", "OTHER-X", "LS-EPITH", "EPITHERMAL-AU", "")

@@ -53,7 +53,12 @@ def read_markdown(spark: SparkSession, root: str, enhanced: str | None = None) -
     rows = rows.groupBy("paper_id").agg(F.min_by(F.struct("path", "text"), "path").alias("r")).select("paper_id", "r.*")
     if enhanced is None:
         return rows
-    better = _markdown(spark, enhanced).select("paper_id", F.col("path").alias("_p"), F.col("text").alias("_t"))
+    return prefer_enhanced(rows, _markdown(spark, enhanced))
+
+
+def prefer_enhanced(rows: DataFrame, enhanced: DataFrame) -> DataFrame:
+    """(paper_id, path, text) of rows, with path and text of enhanced where it has the paper. One row an id in both."""
+    better = enhanced.select("paper_id", F.col("path").alias("_p"), F.col("text").alias("_t"))
     return rows.join(better, "paper_id", "left").select("paper_id", F.coalesce("_p", "path").alias("path"), F.coalesce("_t", "text").alias("text"))
 
 
