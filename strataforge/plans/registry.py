@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import cases, curation, matching, records  # noqa: F401
+from . import cases, curation, files, matching, records  # noqa: F401
 from .base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
