@@ -91,11 +91,15 @@ def tier_extracted(df: DataFrame, extracted: DataFrame, id_col: str = "paper_id"
 
 
 def expand_belts(missing: DataFrame, belts: DataFrame, geocoded: DataFrame) -> DataFrame:
-    """Places for belt names (ord, name): from the dimension by containment either way, else from a table (name, lat, lon) of geocoded names."""
-    rows = missing.withColumn("_ord", F.col("ord"))
-    known = lookup.exact_or_contained(rows, F.col("name"), belts).select("_ord", F.col("hit.lat").alias("lat"), F.col("hit.lon").alias("lon"))
-    rest = rows.join(known, "_ord", "left_anti").join(geocoded, "name").select("_ord", "lat", "lon")
-    return rows.join(known.unionByName(rest), "_ord").select("ord", "name", "lat", "lon")
+    """Places for belt names (ord, name): from the dimension by containment either way, else from a table (name, lat, lon) of geocoded names.
+
+    A place is looked up once a name, and each row of missing with that name gets it.
+    """
+    names = missing.select(F.col("name").alias("_name")).distinct()
+    known = lookup.exact_or_contained(names, F.col("_name"), belts, row_id="_name").select("_name", F.struct("hit.lat", "hit.lon").alias("_known"))
+    coded = geocoded.select(F.col("name").alias("_name"), F.struct("lat", "lon").alias("_coded")).distinct()
+    places = known.join(coded, "_name", "full").select("_name", F.coalesce("_known", "_coded").alias("_at")).distinct()
+    return missing.join(places, F.col("name") == F.col("_name")).select("ord", "name", "_at.lat", "_at.lon")
 
 
 def coordinate_source() -> Column:

@@ -1,8 +1,8 @@
 """Lookups of records in dimensions: exact, contained, n-gram, box, radius and polygon, each giving one best entry.
 
 Containment is found by equi-joins: a key that a text contains has words or letters that the text has too, so texts and keys meet on these
-and are compared only then, and Spark's size estimates tell whether a side is broadcast.  Dimensions that meet points or keywords by other
-conditions are broadcast while they are small.
+and are compared only then, and Spark's size estimates tell whether a side is broadcast.  Where the keys are few they are broadcast and
+compared with every text instead.  Dimensions that meet points or keywords by other conditions are broadcast while they are small.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..functions.collections import ngrams
-from ..functions.text import fold_dashes, planar_km, split_words, squeeze
+from ..functions.text import contains_either, fold_dashes, planar_km, split_words, squeeze
 from .fixed import STOPWORDS
 
 
@@ -26,6 +26,23 @@ def small(dim: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(dim) if n <= SMALL_DIMENSION else dim
 
 
+#: Keys of at most this many rows are compared with every text, which costs less than cutting each text into its words and letters.
+FEW_KEYS = 100
+
+
+def few(keys: DataFrame) -> bool:
+    return keys.limit(FEW_KEYS + 1).count() <= FEW_KEYS
+
+
+def first_entries(dim: DataFrame, *by: str) -> DataFrame:
+    """The first row, by order, for each value of some columns; rows without a place in the order come last."""
+    return dim.groupBy(*by).agg(F.min_by(F.struct(*dim.columns), _place()).alias("_first")).select("_first.*")
+
+
+def _place(*before: Column) -> Column:
+    return F.struct(*[b.alias(f"b{k}") for k, b in enumerate(before)], F.col("ord").isNull().alias("last"), F.col("ord").alias("at"))
+
+
 def _runs(items: Column, n: int, between: str) -> Column:
     """The distinct runs of n consecutive items, joined: the items put beside those that come 1, 2, ... places later, so that items is made n times, not once a run."""
     left = F.greatest(F.size(items) - (n - 1), F.lit(0))
@@ -57,6 +74,18 @@ def contained(texts: DataFrame, text: str, keys: DataFrame, key: str) -> DataFra
     return out
 
 
+def each_pair(texts: DataFrame, text: str, keys: DataFrame, key: str, either: bool = False) -> DataFrame:
+    """As contained(), with either also texts that a key contains: every text compared with every key."""
+    meets = contains_either(text, key) if either else F.contains(F.col(text), F.col(key))
+    return texts.where(F.col(text) != "").join(F.broadcast(keys.where(F.col(key) != "")), meets)
+
+
+def by_anchors(texts: DataFrame, text: str, keys: DataFrame, key: str, either: bool = False) -> DataFrame:
+    """As each_pair() by equi-joins; with either a pair can come twice."""
+    out = contained(texts, text, keys, key)
+    return out.unionByName(contained(keys, key, texts, text)) if either else out
+
+
 def overlay(base: DataFrame, over: DataFrame, key: str = "name") -> DataFrame:
     """Entries of both, those of over winning; an entry keeps the place of its key's first occurrence."""
     both = base.withColumn("_layer", F.lit(0)).unionByName(over.withColumn("_layer", F.lit(1)), allowMissingColumns=True)
@@ -85,13 +114,23 @@ def longest_contained(df: DataFrame, text: Column, dim: DataFrame, key: str = "a
 
 
 def exact_or_contained(df: DataFrame, text: Column, dim: DataFrame, key: str = "name", row_id: str = "_ord") -> DataFrame:
-    """(row_id, hit, exact): by equality, and only for what has none by containment either way, first by order."""
+    """(row_id, hit, exact): by equality, and only for what has none by containment either way, first by order.
+
+    Of entries with one key only the first can win, and rows with one text win the same: where the keys are many, distinct ones meet distinct texts.
+    """
     left = df.select(F.col(row_id), fold_dashes(text).alias("_text")).where("_text <> ''")
-    right = dim.withColumn("_key", fold_dashes(key)).where("_key <> ''")
-    found = left.join(right, F.col("_text") == F.col("_key")).groupBy(row_id).agg(F.min_by(F.struct(*dim.columns), "ord").alias("hit")).withColumn("exact", F.lit(True))
-    rest = left.join(found.select(row_id), row_id, "left_anti")
-    rest = contained(rest, "_text", right, "_key").unionByName(contained(right, "_key", rest, "_text"))
-    return found.unionByName(rest.groupBy(row_id).agg(F.min_by(F.struct(*dim.columns), "ord").alias("hit")).withColumn("exact", F.lit(False)))
+    right = first_entries(dim.withColumn("_key", fold_dashes(key)).where("_key <> ''"), "_key")
+    if few(right):
+        hits = each_pair(left, "_text", right, "_key", either=True)
+    else:
+        asked = left.select("_text").distinct()
+        equal = asked.join(right, F.col("_text") == F.col("_key"))
+        rest = asked.join(equal.select("_text"), "_text", "left_anti")
+        near = by_anchors(rest, "_text", right, "_key", either=True)
+        hits = left.join(first_entries(equal.unionByName(near), "_text"), "_text")
+    exact = F.col("_text") == F.col("_key")
+    best = hits.groupBy(row_id).agg(F.min_by(F.struct(F.struct(*dim.columns).alias("hit"), exact.alias("exact")), _place(~exact)).alias("b"))
+    return best.select(row_id, "b.hit", "b.exact")
 
 
 def first_of_array(df: DataFrame, items: str, dim: DataFrame, key: str, row_id: str = "_ord") -> DataFrame:
