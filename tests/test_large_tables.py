@@ -32,3 +32,22 @@ def test_belts_by_anchors(spark, tmp_path, monkeypatch):
     rows = [(k, n) for k, n in enumerate(["red Bolt", "nut", "rod", "nut bolt", "peanuts"] * 3)]
     got = QUERIES["belts_expanded"](spark, parts(spark, tmp_path, rows))
     assert {tuple(r) for r in got.collect()} == {(k, 10.0 if "bolt" in n.lower() else 20.0 if "nut" in n else float(k)) for k, n in rows if n != "rod" or k % 2 == 0}
+
+
+def test_lookup_of_copies(spark, tmp_path):
+    """One entry stands for all with its name, so that copies don't meet copies."""
+    rows = [(k, NAMES[k % len(NAMES)]) for k in range(3000)]
+    got = QUERIES["lookup_exact_or_contains"](spark, parts(spark, tmp_path, rows))
+    firsts = {}
+    for k, n in rows:
+        firsts.setdefault((n or "").lower(), k)
+    assert sorted(map(tuple, got.collect())) == [(k, firsts[n.lower()], True) for k, n in rows if n]
+    assert "Generate" not in plan(got)
+
+
+def test_lookup_of_copies_by_anchors(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "FEW_KEYS", 0)
+    texts, entries = [(k, n) for k, n in enumerate(NAMES * 3)], [(k, n) for k, n in enumerate(NAMES * 4) if n not in ("red oak", "Red Oak", "tin can")]
+    rows, dim = spark.createDataFrame(texts, "_ord long, t string"), spark.createDataFrame(entries, "ord long, name string")
+    found = lookup.exact_or_contained(rows, F.col("t"), dim).select("_ord", "hit.ord", "exact").collect()
+    assert Counter(map(tuple, found)) == Counter(brute(texts, entries))
