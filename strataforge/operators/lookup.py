@@ -86,6 +86,10 @@ def by_anchors(texts: DataFrame, text: str, keys: DataFrame, key: str, either: b
     return out.unionByName(contained(keys, key, texts, text)) if either else out
 
 
+def compared(texts: DataFrame, text: str, keys: DataFrame, key: str, either: bool = False) -> DataFrame:
+    return (each_pair if few(keys) else by_anchors)(texts, text, keys, key, either)
+
+
 def overlay(base: DataFrame, over: DataFrame, key: str = "name") -> DataFrame:
     """Entries of both, those of over winning; an entry keeps the place of its key's first occurrence."""
     both = base.withColumn("_layer", F.lit(0)).unionByName(over.withColumn("_layer", F.lit(1)), allowMissingColumns=True)
@@ -150,11 +154,15 @@ def claimed_countries(c: Column | str) -> Column:
 
 
 def named_in(df: DataFrame, text: Column, countries: Column, dim: DataFrame, key: str = "name", row_id: str = "_ord") -> DataFrame:
-    """(row_id, hit): the first entry whose name is in the text and whose country fits, if countries are claimed."""
+    """(row_id, hit): the first entry whose name is in the text and whose country fits, if countries are claimed.
+
+    Whether the country fits is told while grouping: a filter above the join can be put below it by Spark 4.1, where the country isn't known.
+    """
     left = df.select(F.col(row_id), text.alias("_text"), countries.alias("_claimed"))
-    right = dim.withColumn("_key", F.lower(key)).where("_key <> ''")
+    right = first_entries(dim.withColumn("_key", F.lower(key)).where("_key <> ''"), "_key", "country")
     fits = (F.size("_claimed") == 0) | country_fits(F.col("_claimed"), F.col("country"))
-    return contained(left, "_text", right, "_key").where(fits).groupBy(row_id).agg(F.min_by(F.struct(*dim.columns), "ord").alias("hit"))
+    hits = compared(left, "_text", right, "_key")
+    return hits.groupBy(row_id).agg(F.min_by(F.struct(*dim.columns), F.when(fits, _place())).alias("hit")).where(F.col("hit").isNotNull())
 
 
 def long_words(text: Column, least: int = 5, stopwords=STOPWORDS) -> Column:

@@ -1,5 +1,8 @@
 """Lookups whose cost and results must not depend on how often names, texts and rows repeat."""
 
+import os
+import subprocess
+import sys
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -51,3 +54,38 @@ def test_lookup_of_copies_by_anchors(spark, monkeypatch):
     rows, dim = spark.createDataFrame(texts, "_ord long, t string"), spark.createDataFrame(entries, "ord long, name string")
     found = lookup.exact_or_contained(rows, F.col("t"), dim).select("_ord", "hit.ord", "exact").collect()
     assert Counter(map(tuple, found)) == Counter(brute(texts, entries))
+
+
+def famous(spark, names):
+    papers = spark.createDataFrame([(0, "near the a b c d e mine", ["chile"]), (1, "a b c d e", []), (2, "old a b c d e", ["peru"]), (3, "big hill", ["peru"]), (4, None, [])], "_ord long, text string, countries array<string>")
+    dim = spark.createDataFrame(names, "ord int, name string, country string")
+    return lookup.named_in(papers, F.lower("text"), lookup.claimed_countries("countries"), dim)
+
+
+def test_names_and_countries_without_adaptive_plans(spark, monkeypatch):
+    """The country is compared where it is known, also when no stage is left out for being empty."""
+    names = [(3, "A b c d e", "Chile"), (1, "a b c d e", "Chile"), (2, "a b c d e", "Peru"), (5, "hill", None), (6, "", "Chile"), (7, "mine", "Peru")]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for most in (100, 0):
+            monkeypatch.setattr(lookup, "FEW_KEYS", most, raising=False)
+            got = famous(spark, names)
+            assert sorted((r["_ord"], r["hit"]["ord"]) for r in got.collect()) == [(0, 1), (1, 1), (2, 2), (3, 5)]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+FRESH = """
+import __spark_entry__
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+got = __spark_entry__.queries()["famous_match"](spark, "/root/testdata/sf0.001")
+print("misplaced", "!Filter" in got._jdf.queryExecution().optimizedPlan().toString())
+"""
+
+
+def test_famous_match_as_the_first_query_of_a_session():
+    """Only then Spark put the condition on countries below the join, where it has no countries."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    told = subprocess.run([sys.executable, "-c", FRESH], cwd=root, capture_output=True, text=True, timeout=300, env={k: v for k, v in os.environ.items() if not k.startswith("PYSPARK_")} | {"PYTHONPATH": root})
+    assert "misplaced False" in told.stdout
