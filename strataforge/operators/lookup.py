@@ -210,11 +210,11 @@ def match_phrases(df: DataFrame, text: Column, countries: Column, dim: DataFrame
 def match_ratio(df: DataFrame, words: Column, countries: Column, dim: DataFrame, key: str = "name", row_id: str = "_ord", least: float = 0.4) -> DataFrame:
     """(row_id, hit, score): the entry whose name shares the greatest ratio of length with a word, contained either way."""
     left = df.select(F.col(row_id), countries.alias("_claimed"), F.explode(F.array_distinct(words)).alias("_word"))
-    right = dim.withColumn("_key", F.lower(key)).where("_key <> ''")
+    right = first_entries(dim.withColumn("_key", F.lower(key)).where("_key <> ''"), "_key", "country")
     fits = (F.size("_claimed") == 0) | (F.coalesce(F.col("country"), F.lit("")) == "") | country_fits(F.col("_claimed"), F.col("country"))
-    left = left.where("_word <> ''")
-    hits = contained(left, "_word", right, "_key").unionByName(contained(right, "_key", left, "_word")).where(fits).withColumn("score", F.length("_word") / F.length("_key"))
-    best = hits.groupBy(row_id).agg(F.max_by(F.struct(F.struct(*dim.columns).alias("hit"), "score"), F.struct("score", (-F.col("ord")).alias("o"))).alias("b"))
+    hits = compared(left.where("_word <> ''"), "_word", right, "_key", either=True).withColumn("score", F.length("_word") / F.length("_key"))
+    rank = F.when(fits, F.struct("score", (-F.col("ord")).alias("o")))
+    best = hits.groupBy(row_id).agg(F.max_by(F.struct(F.struct(*dim.columns).alias("hit"), "score"), rank).alias("b"))
     return best.select(row_id, "b.hit", "b.score").where(F.col("score") > least)
 
 

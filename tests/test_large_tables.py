@@ -89,3 +89,25 @@ def test_famous_match_as_the_first_query_of_a_session():
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     told = subprocess.run([sys.executable, "-c", FRESH], cwd=root, capture_output=True, text=True, timeout=300, env={k: v for k, v in os.environ.items() if not k.startswith("PYSPARK_")} | {"PYTHONPATH": root})
     assert "misplaced False" in told.stdout
+
+
+PAPERS = [(0, "escondida norte"), (1, "condid"), (2, "la escondida norte mine"), (3, None), (4, ""), (0, "escondida norte")]
+ENTRIES = [(4, "Escondida", "Chile"), (1, "escondida", "Chile"), (2, "Escondida", None), (3, "Norte", "Peru"), (5, "", "Chile")]
+
+
+def both_ways(spark, monkeypatch, match, rows):
+    """What a match gives by comparing all pairs and by anchors."""
+    df = spark.createDataFrame([(k, t, ["chile"] if k else []) for k, t in rows], "_ord long, text string, claimed array<string>")
+    dim = spark.createDataFrame(ENTRIES, "ord int, name string, country string")
+    for most in (100, 0):
+        monkeypatch.setattr(lookup, "FEW_KEYS", most, raising=False)
+        yield sorted((r["_ord"], r["hit"]["ord"], round(r["score"], 3)) for r in match(df, dim).collect())
+
+
+def test_ratio_of_copies(spark, tmp_path, monkeypatch):
+    ratio = lambda df, dim: lookup.match_ratio(df, F.split("text", " "), F.col("claimed"), dim)
+    for got in both_ways(spark, monkeypatch, ratio, PAPERS):
+        assert got == [(0, 1, 1.0), (1, 1, 0.667), (2, 1, 1.0)]
+    monkeypatch.undo()
+    got = QUERIES["ratio_match_top1"](spark, parts(spark, tmp_path, [(k, "Basin") for k in range(7)]))
+    assert plan(got).count("Generate explode") == 1  # of texts into words; no word is cut into letters
