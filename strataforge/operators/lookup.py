@@ -194,16 +194,17 @@ def match_phrases(df: DataFrame, text: Column, countries: Column, dim: DataFrame
     low = F.lower(text)
     stop = F.array(*map(F.lit, STOPWORDS))
     left = df.select(F.col(row_id), low.alias("_text"), countries.alias("_claimed"))
-    grams = left.select(row_id, "_claimed", F.explode(F.array_distinct(ngrams(long_words(F.col("_text"))))).alias("phrase"))
+    tokens = left.select(row_id, "_claimed", long_words(F.col("_text")).alias("_tokens"))  # a column: within ngrams() they were made anew for each run
+    grams = tokens.select(row_id, "_claimed", F.explode(F.array_distinct(ngrams("_tokens"))).alias("phrase"))
     trusted = keywords.select(F.lower("keyword").alias("_kw")).distinct()
-    named = contained(left, "_text", trusted.where("_kw <> ''"), "_kw").select(row_id, "_claimed", F.col("_kw").alias("phrase"))
-    found = grams.unionByName(named).where(~F.array_contains(stop, F.col("phrase"))).distinct()
-    index = phrase_index(dim, key)
-    hits = found.join(index, "phrase").join(trusted, F.col("phrase") == F.col("_kw"), "left")
+    named = compared(left, "_text", trusted.where("_kw <> ''"), "_kw").select(row_id, "_claimed", F.col("_kw").alias("phrase"))
+    found = grams.unionByName(named).where(~F.array_contains(stop, F.col("phrase")))
+    index = phrase_index(first_entries(dim, key, "country"), key).join(small(trusted), F.col("phrase") == F.col("_kw"), "left")
+    hits = found.join(small(index), "phrase")
     ok = F.when(F.size("_claimed") > 0, country_fits(F.col("_claimed"), F.col("country"))).otherwise(F.col("_kw").isNotNull())
     score = F.length("phrase") / F.greatest(F.length(key), F.lit(1)) + F.when(F.col("phrase") == F.lower(key), 0.3).otherwise(0.0)
     rank = F.struct("score", F.length("phrase").alias("n"), F.col("phrase"), (-F.col("ord")).alias("o"))
-    best = hits.where(ok).withColumn("score", score).groupBy(row_id).agg(F.max_by(F.struct(F.struct(*dim.columns).alias("hit"), "phrase", "score"), rank).alias("b"))
+    best = hits.withColumn("score", score).groupBy(row_id).agg(F.max_by(F.struct(F.struct(*dim.columns).alias("hit"), "phrase", "score"), F.when(ok, rank)).alias("b"))
     return best.select(row_id, "b.hit", "b.phrase", "b.score").where(F.col("score") >= least)
 
 

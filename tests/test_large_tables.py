@@ -111,3 +111,13 @@ def test_ratio_of_copies(spark, tmp_path, monkeypatch):
     monkeypatch.undo()
     got = QUERIES["ratio_match_top1"](spark, parts(spark, tmp_path, [(k, "Basin") for k in range(7)]))
     assert plan(got).count("Generate explode") == 1  # of texts into words; no word is cut into letters
+
+
+def test_phrases_of_copies(spark, tmp_path, monkeypatch):
+    keywords = spark.createDataFrame([("Escondida",)], "keyword string")
+    phrases = lambda df, dim: lookup.match_phrases(df, F.col("text"), F.col("claimed"), dim, keywords)
+    for got in both_ways(spark, monkeypatch, phrases, PAPERS):
+        assert got == [(0, 1, 1.3), (2, 1, 1.3)]
+    monkeypatch.undo()
+    got = QUERIES["ngram_match_top1"](spark, parts(spark, tmp_path, [(k, "Basin") for k in range(7)]))
+    assert plan(got).count("Generate explode") == 2  # of texts and of entries into phrases; no text is cut into letters
