@@ -2,7 +2,7 @@
 
 Containment is found by equi-joins: a key that a text contains has words or letters that the text has too, so texts and keys meet on these
 and are compared only then, and Spark's size estimates tell whether a side is broadcast.  Where the keys are few they are broadcast and
-compared with every text instead.  Dimensions that meet points or keywords by other conditions are broadcast while they are small.
+compared with every text instead.  exact_or_contained() counts its names and broadcasts by that, not by estimates.  Dimensions that meet points or keywords by other conditions are broadcast while they are small.
 """
 
 from __future__ import annotations
@@ -34,6 +34,15 @@ def few(keys: DataFrame) -> bool:
     return keys.limit(FEW_KEYS + 1).count() <= FEW_KEYS
 
 
+#: Characters of names up to which a side that is counted to be small is broadcast.
+SMALL_CHARS = 2_000_000
+
+
+def _sent(side: DataFrame, rows: int, chars: int) -> DataFrame:
+    """A counted side of an equi-join, broadcast if it is small, else sorted and merged whatever Spark takes its size for."""
+    return F.broadcast(side) if rows <= SMALL_DIMENSION and chars <= SMALL_CHARS else side.hint("merge")
+
+
 def first_entries(dim: DataFrame, *by: str) -> DataFrame:
     """The first row, by order, for each value of some columns; rows without a place in the order come last."""
     return dim.groupBy(*by).agg(F.min_by(F.struct(*dim.columns), _place()).alias("_first")).select("_first.*")
@@ -123,20 +132,35 @@ def exact_or_contained(df: DataFrame, text: Column, dim: DataFrame, key: str = "
     Of entries with one key only the first can win, and rows with one text win the same: where the keys are many, distinct ones meet distinct texts.
     """
     left = df.select(F.col(row_id), fold_dashes(text).alias("_text")).where("_text <> ''")
-    right = first_entries(dim.withColumn("_key", fold_dashes(key)).where("_key <> ''"), "_key")
-    if few(right):
-        hits = each_pair(left, "_text", right, "_key", either=True)
+    right = dim.withColumn("_key", fold_dashes(key)).where("_key <> ''")
+    if few(right.select("_key").distinct()):
+        hits = each_pair(left, "_text", first_entries(right, "_key"), "_key", either=True)
+        hits = hits.select(row_id, F.struct(*dim.columns).alias("hit"), (F.col("_text") == F.col("_key")).alias("exact"), "ord")
     else:
-        asked = left.select("_text").distinct()
-        equal = asked.join(right, F.col("_text") == F.col("_key"))
-        rest = asked.join(equal.select("_text"), "_text", "left_anti")
-        near = by_anchors(rest, "_text", right, "_key", either=True)
-        hits = left.join(first_entries(equal.unionByName(near), "_text"), "_text")
-    exact = F.col("_text") == F.col("_key")
-    best = hits.groupBy(row_id).agg(F.min_by(F.struct(F.struct(*dim.columns).alias("hit"), exact.alias("exact")), _place(~exact)).alias("b"))
+        hits = _by_names(left, right.select("_key", F.struct(*dim.columns).alias("hit"), "ord")).select(row_id, "hit", "exact", "hit.ord")
+    best = hits.groupBy(row_id).agg(F.min_by(F.struct("hit", "exact"), _place(~F.col("exact"))).alias("b"))
     return best.select(row_id, "b.hit", "b.exact")
 
 
+def _by_names(left: DataFrame, right: DataFrame) -> DataFrame:
+    """left, of each text in _text, with the hit of its name: of equal ones the first (_key, hit, ord) of right, else the first contained either way.
+
+    Names are counted before they meet: Spark's estimates are of compressed files, and by them it would send the driver millions of short
+    names.  Where every text has its equal, nothing is cut into words and letters.
+    """
+    both = right.withColumn("_at", _place()).unionByName(left.select(F.col("_text").alias("_key")), allowMissingColumns=True)
+    names = both.groupBy("_key").agg(F.min_by("hit", "_at").alias("hit"), F.max(F.col("_at").isNull()).alias("_asked"))
+    entry, missed = F.col("hit").isNotNull(), F.col("hit").isNull()
+    n_keys, key_chars, n_rest, rest_chars = (n or 0 for n in names.agg(*[f(F.when(w, F.length("_key"))) for w in (entry, missed) for f in (F.count, F.sum)]).first())
+    best = names.where(entry & F.col("_asked")).select(F.col("_key").alias("_text"), "hit", F.lit(True).alias("exact"))
+    if n_rest:
+        keys, rest = names.where(entry).select("_key", "hit"), names.where(missed).select(F.col("_key").alias("_text"))
+        near = contained(rest, "_text", _sent(keys, n_keys, key_chars), "_key").unionByName(contained(keys, "_key", _sent(rest, n_rest, rest_chars), "_text"))
+        first = near.withColumn("ord", F.col("hit.ord")).groupBy("_text").agg(F.min_by("hit", _place()).alias("hit"))
+        best = best.unionByName(first.withColumn("exact", F.lit(False)))
+    return left.join(_sent(best, n_keys + n_rest, key_chars + rest_chars), "_text")
+
+
 def first_of_array(df: DataFrame, items: str, dim: DataFrame, key: str, row_id: str = "_ord") -> DataFrame:
     """(row_id, hit): of the first item of an array that the dimension has."""
     left = df.select(F.col(row_id), F.posexplode(items).alias("_pos", "_item"))

@@ -56,6 +56,37 @@ def test_lookup_of_copies_by_anchors(spark, monkeypatch):
     assert Counter(map(tuple, found)) == Counter(brute(texts, entries))
 
 
+def test_lookup_of_many_names(spark, tmp_path, monkeypatch):
+    """Names are sent to the driver by their count, not by the size of their file; if each has its equal, none is cut into letters."""
+    rows = [(k, f"bolt {k % 300}") for k in range(900)]
+    for most, word in ((lookup.SMALL_DIMENSION, "BroadcastHashJoin"), (0, "SortMergeJoin")):
+        monkeypatch.setattr(lookup, "SMALL_DIMENSION", most)
+        got = QUERIES["lookup_exact_or_contains"](spark, parts(spark, tmp_path / word, rows))
+        assert sorted(map(tuple, got.collect())) == [(k, k % 300, True) for k, _ in rows]
+        whole = got._jdf.queryExecution().toString()
+        assert "Generate" not in whole and [j for j in ("BroadcastHashJoin", "SortMergeJoin") if j in whole] == [word]
+
+
+def test_containment_of_many_names(spark, monkeypatch):
+    """Texts without an equal, repeated rows, rows of one id with two texts, places that are null: as brute force, without any broadcast."""
+    monkeypatch.setattr(lookup, "FEW_KEYS", 0)
+    texts = [(k % 11, n) for k, n in enumerate(NAMES * 3)] + [(20, "copper"), (21, "a red oak chest"), (21, "a red oak chest"), (22, "ca")]
+    entries = [(k, n) for k, n in enumerate(NAMES * 2) if n not in ("red oak", "Red Oak", "tin can")]
+    rows = spark.createDataFrame(texts, "_ord long, t string")
+    dim = spark.createDataFrame([*entries, (None, "steel"), (None, "chest")], "ord long, name string")
+    first = {}
+    for i, t in texts:
+        equal = [o for o, k in entries if t and k and k.lower() == t.lower()]
+        near = [o for o, k in entries if t and k and (k.lower() in t.lower() or t.lower() in k.lower())]
+        if equal or near:
+            first[i] = min(first.get(i, (True, 99)), (not equal, min(equal or near)))
+    for most in (lookup.SMALL_DIMENSION, 0):
+        monkeypatch.setattr(lookup, "SMALL_DIMENSION", most)
+        got = lookup.exact_or_contained(rows, F.col("t"), dim)
+        assert sorted((r["_ord"], (not r["exact"], r["hit"]["ord"])) for r in got.collect()) == sorted(first.items())
+    assert "Broadcast" not in got._jdf.queryExecution().toString()
+
+
 def famous(spark, names):
     papers = spark.createDataFrame([(0, "near the a b c d e mine", ["chile"]), (1, "a b c d e", []), (2, "old a b c d e", ["peru"]), (3, "big hill", ["peru"]), (4, None, [])], "_ord long, text string, countries array<string>")
     dim = spark.createDataFrame(names, "ord int, name string, country string")
